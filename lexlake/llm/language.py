@@ -1,8 +1,8 @@
 """Problem 3: the language of documents, of segments, of sides of pairs and of catalog names.
 
-A text is compressed with one zstandard raw-content dictionary for each language and takes the
-language whose dictionary makes it smallest; where the margin over the next is narrow, it takes
-none. The dictionaries are fitted on a bounded sample of labelled rows. As labels are noisy, a
+A text is compressed with one zstandard raw-content dictionary for each language that its scripts
+leave and takes the language whose dictionary makes it smallest; where the margin over the next is
+narrow, it takes none. The dictionaries are fitted on a bounded sample of labelled rows. As labels are noisy, a
 sentence goes into a dictionary only if the words of the whole sample agree with its label.
 """
 
@@ -15,6 +15,7 @@ import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -62,6 +63,7 @@ _SPACE = re.compile(r"\s+")
 _ODD = re.compile("[­​-‏⁠﻿]")
 _END = re.compile(rf"[.!?…]+[\"'”’»)\]]*(?=\s|$|[A-ZÀ-ÞА-Я¡¿{_CJK}])|[。！？]+[」』”’》）]*|\n+|(?<=[{_CJK}])(?=[A-ZÀ-Þ][^\W\d_]* [^{_CJK}。]{{24}})|(?<=[^\W\d_]{{2}})(?=[А-Я][а-яё]* [а-яё]+ )|(?<=[а-яё])(?=[A-ZÀ-Þ][^\W\d_]* [^а-яё]{{24}})")
 _SCRIPTS = {"han": re.compile("[㐀-䶿一-鿿豈-﫿]"), "kana": re.compile("[ぁ-ヿ]"), "cyrillic": re.compile("[Ѐ-ӿ]"), "latin": re.compile("[a-zà-ɏ]")}
+_LATIN = frozenset({"latin"})
 _WORD = re.compile(rf"[{_CJK}]|[^\W\d_{_CJK}]+")
 
 
@@ -72,6 +74,10 @@ def plain(text: str) -> str:
     return _SPACE.sub(" ", text).strip().casefold()
 
 
+def words_at_least(text: str, n: int) -> bool:
+    return sum(1 for _ in islice(_WORD.finditer(text), n)) == n
+
+
 def sentences(text: str) -> Iterator[tuple[int, int]]:
     """(begin, end) of the sentences and lines of a text, which they cover."""
     begin = 0
@@ -104,6 +110,15 @@ def scripts(text: str) -> Counter[str]:
     return out
 
 
+def main_scripts(text: str) -> tuple[str, frozenset[str]]:
+    """(the script of most letters, all scripts) of a text."""
+    if text.isascii():
+        return ("latin", _LATIN) if _SCRIPTS["latin"].search(text) else ("", frozenset())
+    have = [name for name, found in _SCRIPTS.items() if found.search(text)]
+    main = have[0] if len(have) == 1 else max(have, key=lambda s: len(_SCRIPTS[s].findall(text))) if have else ""
+    return main, frozenset(have)
+
+
 @dataclass
 class Classifier:
     """Raw-content dictionaries, and the compressors made of them in each worker.
@@ -119,6 +134,7 @@ class Classifier:
     needs: dict[str, frozenset[str]] = field(default_factory=dict)
     lacks: dict[str, frozenset[str]] = field(default_factory=dict)
     _made: list = field(default_factory=list, repr=False)
+    _left: dict = field(default_factory=dict, repr=False)
 
     @classmethod
     def of(cls, texts: dict[str, list[str]]) -> Classifier:
@@ -135,52 +151,58 @@ class Classifier:
 
     def __setstate__(self, state):
         self.dictionaries, self.least_bytes, self.least_share, self.needs, self.lacks = state
-        self._made = []
+        self._made, self._left = [], {}
 
-    def sizes(self, data: bytes, closer: bool = False) -> list[tuple[int, str]]:
-        """Compressed bytes for each language, smallest first."""
+    def _compressors(self, closer: bool) -> dict:
         if not self._made:
             import zstandard
 
             for level in LEVELS:
-                own = []
+                own = {}
                 for label, content in sorted(self.dictionaries.items()):
                     d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                     d.precompute_compress(level=level)
-                    own.append((label, zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress))
+                    own[label] = zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress
                 self._made.append(own)
-        return sorted((len(f(data)), label) for label, f in self._made[closer])
+        return self._made[closer]
 
-    def possible(self, text: str) -> set[str]:
+    def sizes(self, data: bytes, labels: tuple[str, ...] | None = None, closer: bool = False) -> list[tuple[int, str]]:
+        """Compressed bytes for each language, smallest first."""
+        own = self._compressors(closer)
+        return sorted([(len(own[label](data)), label) for label in labels or own])
+
+    def possible(self, text: str) -> tuple[str, ...]:
         """The languages that the scripts of a text leave."""
-        have = scripts(text)
-        if not have:
-            return set(self.dictionaries)
-        main = have.most_common(1)[0][0]
-        out = {c for c in self.dictionaries if main not in self.lacks.get(c, ()) and all(s in have for s in self.needs.get(c, ()))}
-        return out or set(self.dictionaries)
+        if not self.needs:
+            return tuple(self.dictionaries)
+        have = main_scripts(text)
+        left = self._left.get(have)
+        if left is None:
+            main, every = have
+            ok = [c for c in sorted(self.dictionaries) if main and main not in self.lacks[c] and self.needs[c] <= every]
+            left = self._left[have] = tuple(ok or sorted(self.dictionaries))
+        return left
 
     def classify(self, text: str) -> tuple[str | None, float]:
         """(language, confidence from 0 to 1) of a plain text; no language if the margin is narrow."""
-        data = text.encode("utf-8", "surrogatepass")
-        if not data or not self.dictionaries:
+        if not text or not self.dictionaries:
             return None, 0.0
-        left = self.possible(text) if self.needs else set(self.dictionaries)
+        left = self.possible(text)
+        if len(left) == 1:
+            return left[0], 1.0
+        data = text.encode("utf-8", "surrogatepass")
         confidence = 0.0
         for closer in (False, True):
-            ranked = [r for r in self.sizes(data, closer) if r[1] in left]
-            if len(ranked) == 1:
-                return ranked[0][1], 1.0
-            margin = ranked[1][0] - ranked[0][0]
-            confidence = min(1.0, margin / max(1, ranked[1][0]))
+            best, second = self.sizes(data, left, closer)[:2]
+            margin = second[0] - best[0]
+            confidence = min(1.0, margin / max(1, second[0]))
             if margin >= max(self.least_bytes, self.least_share * len(data)):
-                return ranked[0][1], confidence
+                return best[1], confidence
         return None, confidence
 
     def nearest(self, text: str) -> str | None:
         """The one language that makes a text smallest, however narrow the margin."""
-        left = self.possible(text)
-        ranked = [r for r in self.sizes(text.encode("utf-8", "surrogatepass"), True) if r[1] in left]
+        ranked = self.sizes(text.encode("utf-8", "surrogatepass"), self.possible(text), True)
         return ranked[0][1] if ranked and (len(ranked) == 1 or ranked[0][0] < ranked[1][0]) else None
 
 
@@ -245,7 +267,7 @@ def fit_languages(documents: DataFrame, sides: list[tuple[DataFrame, str, str]])
                     own = {plain(text[a:e]) for a, e in sentences(text)}
                     for s in sorted(own, key=lambda s: hashlib.md5(s.encode("utf-8", "surrogatepass")).digest())[:SAMPLE_SENTENCES]:
                         n = scripts(s)
-                        if len(_WORD.findall(s)) >= LEAST_WORDS and len(s) <= LONG and min(n["latin"] + n["cyrillic"], n["han"] + n["kana"]) <= 0.3 * n.total():
+                        if words_at_least(s, LEAST_WORDS) and len(s) <= LONG and min(n["latin"] + n["cyrillic"], n["han"] + n["kana"]) <= 0.3 * n.total():
                             labels.append(code)
                             texts.append(s)
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.string()), pa.array(texts, pa.string())], names=["label", "text"])
@@ -263,7 +285,7 @@ def segments(text: str, model: Classifier) -> list[tuple[int, int, str | None, f
     out = []
     for begin, end in sentences(text):
         s = plain(text[begin:end])
-        if len(_WORD.findall(s)) < LEAST_WORDS:
+        if not words_at_least(s, LEAST_WORDS):
             out.append((begin, end, None, 0.0))
             continue
         lang, sure = model.classify(s)
@@ -271,7 +293,7 @@ def segments(text: str, model: Classifier) -> list[tuple[int, int, str | None, f
             parts = []
             for a, b in blocks(text, begin, end):
                 p = plain(text[a:b])
-                parts.append((a, b, *(model.classify(p) if len(_WORD.findall(p)) >= 2 * LEAST_WORDS else (None, 0.0))))
+                parts.append((a, b, *(model.classify(p) if words_at_least(p, 2 * LEAST_WORDS) else (None, 0.0))))
             if len({x[2] for x in parts if x[2]}) > 1:
                 out += parts
                 continue
