@@ -191,18 +191,27 @@ def runs(doc: np.ndarray, item: np.ndarray, free: np.ndarray, least: int) -> np.
             free[p] = False
 
 
-def held_share(doc: np.ndarray, item: np.ndarray, at_doc: np.ndarray, at_item: np.ndarray, single: bool) -> float:
-    """The part of the item's words that runs around the seeds hold."""
+def held_share(doc: np.ndarray, item: np.ndarray, at_doc: np.ndarray, at_item: np.ndarray, single: bool, wanted: float = 0.0) -> float:
+    """The part of the item's words that runs around the seeds hold.
+
+    Words of the item that don't stand near a seed at all can't be held; where so many are missing
+    that wanted can't be reached, nothing is aligned and the answer is 0.
+    """
     n = len(item)
-    held = np.zeros(n, bool)
-    least = LEAST_RUN[single] + MATCH * int(np.log2(max(1.0, len(doc) / USUAL)))
     order = np.argsort(at_doc, kind="stable")
     at_doc, at_item = at_doc[order], at_item[order]
     cut = np.flatnonzero(np.diff(at_doc) > n) + 1
+    windows = []
     for block in np.split(np.arange(len(at_doc)), cut):
         begin = max(0, int((at_doc[block] - at_item[block]).min()) - 8, int(at_doc[block[0]]) - n - 8)
         end = min(len(doc), max(int((at_doc[block] + n - at_item[block]).max()), int(at_doc[block[-1]]) + n) + 8)
-        held |= runs(doc[begin:end], item, ~held, least)
+        windows.append(doc[begin:end])
+    if wanted and np.isin(item, np.concatenate(windows)).mean() < wanted:
+        return 0.0
+    least = LEAST_RUN[single] + MATCH * int(np.log2(max(1.0, len(doc) / USUAL)))
+    held = np.zeros(n, bool)
+    for window in windows:
+        held |= runs(window, item, ~held, least)
     return float(held.mean())
 
 
@@ -245,7 +254,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
                         base = w.starts[r]
                         row_of.append(r)
                         item_of.append(kept.ids[i])
-                        share.append(held_share(w.hash[base : w.starts[r + 1]], kept.words[i], at_doc[a:b] - base, kept.seed_at[s[a:b]], kept.single[i]))
+                        share.append(held_share(w.hash[base : w.starts[r + 1]], kept.words[i], at_doc[a:b] - base, kept.seed_at[s[a:b]], kept.single[i], held))
                     yield pa.RecordBatch.from_arrays([part.column("d").take(pa.array(row_of, pa.int64())), pa.array(item_of, pa.int64()), pa.array(share, pa.float64())], names=["doc_id", "item_id", "held"])
 
         return rows.mapInArrow(run, f"doc_id {kind}, item_id long, held double").where(F.col("held") >= held)
