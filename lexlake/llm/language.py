@@ -424,7 +424,9 @@ def fit_names(snapshots: DataFrame) -> NameModel:
     """Fits on at most about SAMPLE_ROWS names for each class.
 
     Words are common from one name in two hundred on, pairs of ideographs from one in fifty on;
-    words that stand as often in names of every class tell nothing and are left out.
+    words that stand in few names of any class, or as often in names of every class, tell nothing
+    and are left out. What is left of a name goes into the dictionary of the class that most names
+    with the same rest are labelled with.
     """
     rows = snapshots.select(F.col("lang").alias("label"), F.col("id").alias("row_id"), F.col("name").alias("text")).where(known_class(F.col("lang")) & F.col("name").isNotNull())
     pairs = [(label, name) for label, _, name in sorted({(r.label, r.row_id, r.text) for r in sample(rows.distinct()).collect()})]
@@ -432,15 +434,19 @@ def fit_names(snapshots: DataFrame) -> NameModel:
     common = frozenset(w for w, n in seen.items() if n >= max(3, len(pairs) / (50 if re.match(f"[{_CJK}]", w) else 200)))
     names = NameModel(Classifier({}, 1, 0.0), common)
 
-    def words(t: str) -> list[str]:
-        own = names.words(t)
-        return [f"{a} {b}" for a, b in zip(own, own[1:])] + own
-
-    fit = agreeing(pairs, words)
-    share = {label: Counter(w for t in own for w in set(names.words(t))) for label, own in fit.items() if own}
-    rate = {w: [share[label][w] / len(fit[label]) for label in share] for w in common}
-    names.idle = frozenset(w for w, r in rate.items() if len(r) > 1 and min(r) > 0 and min(r) >= 0.3 * max(r))
-    names.model = Classifier({label: packed(names.read(t) for t in own) for label, own in sorted(fit.items()) if own}, 1, 0.0)
+    labels = Counter(label for label, _ in pairs)
+    rate = Counter((label, w) for label, t in pairs for w in set(names.words(t)))
+    rates = {w: [rate[label, w] / labels[label] for label in labels] for w in common}
+    names.idle = frozenset(w for w, r in rates.items() if max(r) < 0.03 or len(r) > 1 and min(r) >= 0.3 * max(r))
+    votes: dict[str, Counter[str]] = defaultdict(Counter)
+    for label, t in pairs:
+        votes[names.read(t)][label] += 1
+    fit: dict[str, list[str]] = defaultdict(list)
+    for form, own in votes.items():
+        (label, n), *rest = own.most_common(2)
+        if not rest or n > rest[0][1]:
+            fit[label].append(form)
+    names.model = Classifier({label: packed(forms) for label, forms in sorted(fit.items())}, 1, 0.0)
     return names
 
 
