@@ -131,9 +131,13 @@ def strip_slashes(ipa: Column) -> Column:
     return F.btrim(ipa, F.lit("/[] "))
 
 
+def _no_vowels(word: Column) -> Column:
+    return F.concat(F.left(word, F.lit(1)), F.regexp_replace(F.substr(word, F.lit(2)), "[aeiouy]+", ""))
+
+
 def skeleton(word: Column) -> Column:
-    """Consonants of a word, doubled ones once."""
-    return F.regexp_replace(F.regexp_replace(F.lower(word), "[aeiouy]+", ""), r"(.)\1", "$1")
+    """First letter and consonants of a word in its consonant spelling."""
+    return _no_vowels(consonant_spelling(word))
 
 
 def consonant_spelling(word: Column) -> Column:
@@ -143,9 +147,14 @@ def consonant_spelling(word: Column) -> Column:
 
 
 def spelled_alike(a: Column, b: Column) -> Column:
-    """Two spellings of one word, as far as consonants tell."""
-    plain_a, plain_b = (F.regexp_replace(F.lower(x), "[aeiouy]+", "") for x in (a, b))
-    return (a != b) & ((consonant_spelling(a) == consonant_spelling(b)) | ((skeleton(a) == skeleton(b)) & (plain_a != plain_b)))
+    """Two spellings of one word: equal in consonant spelling, or equal in consonants though spelled with others.
+
+    Both have four letters or more, nearly the same length and the same end; one that begins with
+    the other is a word with an ending.
+    """
+    shape = (F.least(F.length(a), F.length(b)) >= 4) & (F.abs(F.length(a) - F.length(b)) <= 2) & (F.right(a, F.lit(1)) == F.right(b, F.lit(1)))
+    respelt = (skeleton(a) == skeleton(b)) & (_no_vowels(F.lower(a)) != _no_vowels(F.lower(b)))
+    return (a != b) & shape & ~a.startswith(b) & ~b.startswith(a) & ((consonant_spelling(a) == consonant_spelling(b)) | respelt)
 
 
 def syllables(word: Column) -> Column:

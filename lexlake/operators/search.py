@@ -92,10 +92,11 @@ def define(index: DataFrame, docs: DataFrame, queries: DataFrame, k: int = DEFIN
 
 def runs(words: Column, least: int, most: int) -> Column:
     """All runs of least to most neighbouring words, as texts."""
-    parts = [
-        F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1))), lambda i, n=n: F.when(F.size(words) >= n, F.array_join(F.slice(words, i, n), " "))) for n in range(least, most + 1)
-    ]
-    return F.array_distinct(F.array_compact(F.concat(*parts)))
+
+    def of(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(1))), lambda i: F.when(F.size(words) >= n, F.array_join(F.slice(words, i, n), " ")))
+
+    return F.array_distinct(F.array_compact(F.concat(*(of(n) for n in range(least, most + 1)))))
 
 
 def attested(phrases: DataFrame, docs: DataFrame, phrase: str, body: str, most: int = 4) -> DataFrame:

@@ -220,7 +220,8 @@ def _once(c: str) -> str:
 
 
 _CONSONANTS = _once("regexp_replace(regexp_replace({w}, 'ck|[cq]', 'k', 'g'), 'ph', 'f', 'g')")
-SQL["word_shapes"] = SQL["word_shapes"].format(_once("regexp_replace(word, '[aeiouy]+', '', 'g')"), _CONSONANTS.format(w="word"))
+_C = _CONSONANTS.format(w="word")
+SQL["word_shapes"] = SQL["word_shapes"].format(f"({_C})[1:1] || regexp_replace(({_C})[2:], '[aeiouy]+', '', 'g')", _C)
 SQL["spelling_variants"] = f"""WITH w AS (SELECT DISTINCT dict_id, lower(headword) AS word FROM entry WHERE regexp_full_match(lower(headword), '[a-z]+')),
     k AS (SELECT *, {_CONSONANTS.format(w="word")} AS key FROM w)
     SELECT a.dict_id, a.word AS word_a, b.word AS word_b FROM k a JOIN k b ON a.dict_id = b.dict_id AND a.key = b.key AND a.word < b.word"""
