@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexlake.llm import canonical, copies, fusion, language, leakage, lookalike, mixing, splitting
+from lexlake.llm import canonical, copies, fusion, language, leakage, lookalike, mixing, splitting, truth
 from lexlake.session import table
 
 
@@ -43,6 +43,10 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return fusion.survivors(table(spark, sf, "pair"), table(spark, sf, "dictionary"))
 
 
+def p5_fused(spark: SparkSession, sf: str) -> DataFrame:
+    return truth.fused(table(spark, sf, "pair"), table(spark, sf, "dictionary"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     pair = lookalike.look_alike_columns(table(spark, sf, "pair"), "id", "zh", "zh_hans")
     return lookalike.look_alike_rows(table(spark, sf, "entry"), "dict_id", "id", "headword").select(F.lit("entry").alias("tbl"), "id_a", "id_b").unionByName(
@@ -83,7 +87,7 @@ def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p2_found, p2_unmatched, p3_found, p3_segments, p4_found, p4_records, p5_found, p6_found, p6_forms, p7_found, p8_mix, p8_report, p9_found, p9_pieces)
+    for f in (p2_found, p2_unmatched, p3_found, p3_segments, p4_found, p4_records, p5_found, p5_fused, p6_found, p6_forms, p7_found, p8_mix, p8_report, p9_found, p9_pieces)
 }
 
 _VALUE = "CASE WHEN {c} IS NULL OR lower(trim({c}, ' \u3000\u00a0')) IN ('', 'null', 'none', 'nil', 'nan', 'n/a', 'na', 'n.a.', 'unknown', 'undefined', '无', '暂无') OR NOT regexp_matches({c}, '[\\p{{L}}\\p{{N}}]') THEN 0 ELSE 1 END"
