@@ -54,16 +54,31 @@ def dependence(same_false: np.ndarray, differ: np.ndarray, accuracy: np.ndarray)
 def vote(sources: np.ndarray, accuracy: np.ndarray, copying: np.ndarray) -> float:
     """The weight of a value that these sources give: the most accurate first, each less what it may have copied."""
     order = sources[np.argsort(-accuracy[sources], kind="stable")]
-    free = np.array([np.prod(1 - COPIED * copying[s, order[:i]]) for i, s in enumerate(order)])
+    own = 1 - COPIED * copying[np.ix_(order, order)]
+    free = np.where(np.tri(len(order), k=-1, dtype=bool), own, 1).prod(axis=1)
     return float((np.log(WRONG * accuracy[order] / (1 - accuracy[order])) * free).sum())
 
 
 def _scored(values: DataFrame, accuracy: np.ndarray, copying: np.ndarray) -> DataFrame:
     """values with the probability p of each: its weight against those of the others of its group."""
 
+    alone = np.log(WRONG * accuracy / (1 - accuracy))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[tuple[int, ...], float] = {}
         for b in batches:
-            w = [vote(np.array(sorted(s)), accuracy, copying) for s in b.column("sources").to_pylist()]
+            row, source, size = _listed(b.column("sources"))
+            w = np.zeros(b.num_rows)
+            one = size == 1
+            w[one] = alone[source[one[row]]]
+            start = np.cumsum(size) - size
+            for i in np.flatnonzero(size > 1):
+                key = tuple(sorted(source[start[i] : start[i] + size[i]].tolist()))
+                if key not in known:
+                    if len(known) > 100_000:
+                        known.clear()
+                    known[key] = vote(np.array(key), accuracy, copying)
+                w[i] = known[key]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(w, pa.float64())], names=[*b.schema.names, "w"])
 
     schema = ", ".join(f"{n} {t}" for n, t in values.dtypes)
@@ -76,44 +91,49 @@ def _scored(values: DataFrame, accuracy: np.ndarray, copying: np.ndarray) -> Dat
     return rows.join(total, ["cluster", "field"]).select(*values.columns, (F.col("e") / F.col("total")).alias("p"))
 
 
-def _tallies(scored: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(sum of p, claims, same true, same false, both) over sources and pairs of sources.
+def _listed(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, value, size of each row) of a column of lists without nulls."""
+    size = np.diff(column.offsets.to_numpy())
+    return np.repeat(np.arange(len(column)), size), column.flatten().to_numpy(), size
+
+
+def _shares(scored: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sum of p, number of values) of each source; n numbers of either reach the driver."""
+    rows = scored.select(F.explode("sources").alias("s"), "p").groupBy("s").agg(F.sum("p").alias("p"), F.count("*").alias("n")).collect()
+    out = np.zeros((2, n))
+    for r in rows:
+        out[:, r.s] = r.p, r.n
+    return out[0], out[1]
 
-    Each batch adds up its own matrix of pairs by a product of its incidence matrix with itself, so
-    no pairs are ever emitted one by one.
+
+def _pairs(rows: DataFrame, n: int) -> np.ndarray:
+    """For rows (sources, kind) how often two sources stand together in rows of kind 0 and of kind 1.
+
+    Each task adds up its own matrices of pairs by products of incidence matrices with themselves, so
+    no pairs are ever emitted one by one. Rows of one source hold none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, count = np.zeros(n), np.zeros(n)
-        pairs = np.zeros((3, n, n))
+        pairs = np.zeros((2, n, n))
         for b in batches:
-            for at in range(0, b.num_rows, 2000):
-                part = b.slice(at, 2000)
-                x = np.zeros((part.num_rows, n), np.float32)
-                for i, s in enumerate(part.column("sources").to_pylist()):
-                    x[i, s] = 1
-                p = part.column("p").to_numpy(zero_copy_only=False)
-                if p[0] < 0:  # the sources of a whole group
-                    pairs[2] += x.T @ x
-                    continue
-                sums += p @ x
-                count += x.sum(axis=0)
-                true = p >= 0.5
-                pairs[0] += x[true].T @ x[true]
-                pairs[1] += x[~true].T @ x[~true]
-        one, (k, i, j) = np.flatnonzero(count), np.nonzero(pairs)
-        kind = np.r_[np.full(len(one), 3), np.full(len(one), 4), k]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(kind.astype(np.int32)), pa.array(np.r_[one, one, i].astype(np.int32)), pa.array(np.r_[one, one, j].astype(np.int32)), pa.array(np.r_[sums[one], count[one], pairs[k, i, j]])], names=["kind", "i", "j", "x"]
-        )
-
-    groups = scored.select("cluster", "field", F.explode("sources").alias("s")).groupBy("cluster", "field").agg(F.collect_set("s").alias("sources"))
-    schema = "kind int, i int, j int, x double"
-    parts = scored.select("sources", "p").mapInArrow(run, schema).unionAll(groups.select("sources", F.lit(-1.0).alias("p")).mapInArrow(run, schema))
-    out = np.zeros((5, n, n))
-    for r in parts.groupBy("kind", "i", "j").agg(F.sum("x").alias("x")).collect():  # at most 3 n^2 + 2 n numbers
+            row, source, _ = _listed(b.column("sources"))
+            kind = b.column("kind").to_numpy(zero_copy_only=False)
+            for k in range(2):
+                mine = np.flatnonzero(kind == k)
+                place = np.full(b.num_rows, -1)
+                place[mine] = np.arange(len(mine))
+                at = place[row] >= 0
+                x = np.zeros((len(mine), n), np.float32)
+                x[place[row[at]], source[at]] = 1
+                pairs[k] += x.T @ x
+        k, i, j = np.nonzero(pairs)
+        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(pairs[k, i, j])], names=["kind", "i", "j", "x"])
+
+    out = np.zeros((2, n, n))
+    parts = rows.where("size(sources) > 1").select("sources", "kind").mapInArrow(run, "kind int, i int, j int, x double")
+    for r in parts.groupBy("kind", "i", "j").agg(F.sum("x").alias("x")).collect():  # at most 2 n^2 numbers
         out[r.kind, r.i, r.j] = r.x
-    return np.diag(out[3]).copy(), np.diag(out[4]).copy(), out[0], out[1], out[2]
+    return out
 
 
 def fused(pairs: DataFrame, dictionaries: DataFrame, fields: tuple[str, ...] = FIELDS, rounds: int = ROUNDS) -> DataFrame:
@@ -130,11 +150,14 @@ def fused(pairs: DataFrame, dictionaries: DataFrame, fields: tuple[str, ...] = F
     n = len(accuracy)
     copying = np.zeros((n, n))
     values = cut_lineage(claims(pairs, index, fields))
+    speak = values.select("cluster", "field", F.explode("sources").alias("s")).groupBy("cluster", "field").agg(F.collect_set("s").alias("sources"))
+    both = _pairs(speak.withColumn("kind", F.lit(0)), n)[0]
     for _ in range(rounds):
         # Dependence first: sources that copy each other would else pass for accurate.
-        _, _, same_true, same_false, both = _tallies(cut_lineage(_scored(values, accuracy, copying)), n)
+        scored = _scored(values, accuracy, copying)
+        same_true, same_false = _pairs(scored.select("sources", F.when(F.col("p") >= 0.5, 0).otherwise(1).alias("kind")), n)
         copying = dependence(same_false, np.maximum(both - same_true - same_false, 0), accuracy)
-        sums, count, *_ = _tallies(cut_lineage(_scored(values, accuracy, copying)), n)
+        sums, count = _shares(_scored(values, accuracy, copying), n)
         accuracy = np.clip(np.where(count > 0, (sums + UNKNOWN) / (count + 1), accuracy), *BOUNDS)
     last = _scored(values, accuracy, copying)
     ordered = last.groupBy("cluster", "field").agg(F.min(F.struct((-F.col("p")).alias("q"), "value", F.size("sources").alias("n"))).alias("b"))
