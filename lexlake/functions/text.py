@@ -20,7 +20,18 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyz"
 
 
 def by_distinct(f: Callable[[str], object], kind: T.DataType) -> Callable[..., Column]:
-    """An Arrow function that calls f once for each different text of a batch; null stays null."""
+    """An Arrow function that calls f once for each different text of a batch; null stays null, in
+    structs as null fields."""
+    if isinstance(kind, T.StructType):
+        names = kind.fieldNames()
+
+        @F.pandas_udf(kind)
+        def fields(texts: pd.Series) -> pd.DataFrame:
+            codes, values = pd.factorize(texts, use_na_sentinel=True)
+            results = [f(v) for v in values]
+            return pd.DataFrame([results[c] if c >= 0 else dict.fromkeys(names) for c in codes], columns=names, dtype=object)
+
+        return fields
 
     @F.pandas_udf(kind)
     def apply(texts: pd.Series) -> pd.Series:

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexlake.operators.once import numbered
+
 
 def entry_keys(entries: DataFrame, dictionaries: DataFrame) -> DataFrame:
     """(entry_id, key): dictionary:occurrence:headword, occurrences counted in id order."""
-    nth = F.row_number().over(Window.partitionBy("dict_id", "headword").orderBy("id"))
-    keyed = entries.select("id", "dict_id", "headword", nth.alias("nth"))
+    keyed = numbered(entries.select("id", "dict_id", "headword"), ["dict_id", "headword"], "id", "nth")
     names = dictionaries.select(F.col("id").alias("dict_id"), F.col("key").alias("dict_key"))
     return keyed.join(names, "dict_id").select(F.col("id").alias("entry_id"), F.concat_ws(":", "dict_key", "nth", "headword").alias("key"))
 
@@ -31,20 +32,21 @@ def shard_offsets(rows: DataFrame, shard: str) -> DataFrame:
     return n.select(shard, "n", (F.coalesce(before, F.lit(0)) + 1).alias("first_id"))
 
 
-def ordered_digests(rows: DataFrame, group: str, order: list[str], fields: list[str], block: int = 10_000) -> DataFrame:
+def ordered_digests(rows: DataFrame, group: str, order: list[str], fields: list[str], block: int = 4096, levels: int = 5) -> DataFrame:
     """(group, n, digest): SHA-256 over the length-prefixed fields of each group in order.
 
-    Rows are numbered within their group, digested in blocks, and the block digests are digested
-    in order, so no task holds a group that is larger than a block.
+    The first order column is a whole number. Its values are digested in blocks, the digests of
+    blocks again in blocks, and so on, so no task ever holds a group: the digests of a level are at
+    most block for each block. Null fields count as empty.
     """
-    place = F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1
-    numbered = rows.select(group, place.alias("at"), *fields).withColumn("part", F.floor(F.col("at") / block))
-
     text = F.concat(*(F.concat(F.lpad(F.length(F.coalesce(F.col(f).cast("string"), F.lit(""))).cast("string"), 10, "0"), F.coalesce(F.col(f).cast("string"), F.lit(""))) for f in fields))
-    parts = numbered.select(group, "part", F.struct("at", F.sha2(text, 256).alias("d")).alias("r"))
-    blocks = parts.groupBy(group, "part").agg(F.count("*").alias("n"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["d"]), ""), 256).alias("d"))
-    whole = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "d"))), lambda r: r["d"]), ""), 256)
-    return blocks.groupBy(group).agg(F.sum("n").alias("n"), whole.alias("digest"))
+    level = rows.select(group, F.floor(F.col(order[0]) / block).alias("part"), F.struct(*order).alias("o"), F.sha2(text, 256).alias("d"), F.lit(1).cast("long").alias("n"))
+    for i in range(levels):
+        one = F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "d"))), lambda r: r["d"]), ""), 256)
+        level = level.groupBy(group, "part").agg(F.sum("n").alias("n"), one.alias("d"))
+        if i < levels - 1:
+            level = level.select(group, F.floor(F.col("part") / block).alias("part"), F.struct(F.col("part").alias("p")).alias("o"), "d", "n")
+    return level.select(group, "n", F.col("d").alias("digest"))
 
 
 def streamed_digest(fields: list[list[str]]) -> str:

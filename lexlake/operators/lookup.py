@@ -11,12 +11,15 @@ HITS, ANSWERS = 5000, 40
 
 
 def first_of_each(rows: DataFrame, parent: str, order: list[str], value: str, k: int) -> DataFrame:
-    """(parent, total, firsts): how many rows each parent has, and its first k values as one text."""
+    """(parent, total, firsts): how many rows each parent has, and its first k values as one text.
+
+    Spark keeps at most k rows of a parent in each task before the shuffle.
+    """
     n = F.row_number().over(Window.partitionBy(parent).orderBy(*order))
-    total = F.count("*").over(Window.partitionBy(parent))
-    kept = rows.select(parent, F.coalesce(value, F.lit("")).alias("v"), n.alias("n"), total.alias("total")).where(F.col("n") <= k)
+    kept = rows.select(parent, F.coalesce(value, F.lit("")).alias("v"), n.alias("n")).where(F.col("n") <= k)
     firsts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "v"))), lambda x: x["v"]), " | ")
-    return kept.groupBy(parent).agg(F.max("total").alias("total"), firsts.alias("firsts"))
+    total = rows.groupBy(parent).agg(F.count("*").alias("total"))
+    return kept.groupBy(parent).agg(firsts.alias("firsts")).join(total, parent)
 
 
 def by_gloss(queries: DataFrame, terms: DataFrame, senses: DataFrame, entries: DataFrame, hits: int = HITS, answers: int = ANSWERS) -> DataFrame:

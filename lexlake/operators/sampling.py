@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexlake.operators.once import numbered
+
 
 def place(key: Column, seed: str) -> Column:
     """A text that orders keys as if at random, the same on every run."""
@@ -31,8 +33,9 @@ def weighted(rows: DataFrame, key: str, weight: str, k: int, seed: str) -> DataF
 
 def spread(rows: DataFrame, group: str, order: str, n: int) -> DataFrame:
     """n rows of each group evenly spaced in order, the middle one of each n-th; all of a smaller group."""
-    w = Window.partitionBy(group)
-    numbered = rows.withColumn("_i", F.row_number().over(w.orderBy(order)) - 1).withColumn("_m", F.count("*").over(w))
+    counts = rows.groupBy(F.col(group).alias("_g")).agg(F.count("*").alias("_m"))
+    placed = numbered(rows, [group], order, "_i").withColumn("_i", F.col("_i") - 1)
+    both = placed.join(counts, placed[group].eqNullSafe(counts["_g"]))
     part = F.floor(F.col("_i") * n / F.col("_m"))
-    middle = F.floor((F.col("_p") * F.col("_m") + F.floor(F.col("_m") / 2)) / n)
-    return numbered.withColumn("_p", part).where((F.col("_m") <= n) | (F.col("_i") == middle)).drop("_i", "_m", "_p")
+    middle = F.floor((part * F.col("_m") + F.floor(F.col("_m") / 2)) / n)
+    return both.where((F.col("_m") <= n) | (F.col("_i") == middle)).drop("_i", "_m", "_g")
