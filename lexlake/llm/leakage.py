@@ -1,7 +1,7 @@
 """Problem 7: passages of evaluation items inside a training corpus.
 
 Texts are brought into one form and read as words, in Chinese and Japanese as characters. Seeds
-are n-grams of the items that are rare in the corpus; how rare is counted over all documents. A
+are all n-grams of the items, common ones too: an item that leaked widely makes its own seeds common. A
 document that holds a seed of an item is aligned with it by Smith-Waterman around the places of
 the seeds, again and again over what is left of the item, so that a passage in several runs, in
 another order or with changed words is found as a whole. An item has leaked if the runs hold
@@ -25,9 +25,6 @@ from lexlake.llm.lookalike import one_form_codes
 
 #: Length of a seed in words, and in characters where these are read one by one.
 WORDS, CHARS = 5, 8
-#: A seed is rare up to this share of the documents, or this multiple of the usual count of its
-#: item's seeds: an item that has leaked into many documents keeps its seeds.
-RARE_SHARE, RARE_TIMES = 0.0002, 3.0
 #: Scores of the alignment, and the least score of a run in words and in characters; for each
 #: doubling of a document beyond USUAL words it takes MATCH more, as chance finds more there.
 MATCH, MISMATCH, GAP = 2, -2, -2
@@ -37,6 +34,8 @@ USUAL = 256
 HELD = 0.5
 #: Items are handled in blocks of this many, which every task holds.
 BLOCK = 5_000
+#: Cells of the tables of alignments that are computed side by side; a pair beyond it is aligned in full at once.
+CELLS = 4_000_000
 
 
 @lru_cache(maxsize=1)
@@ -120,34 +119,6 @@ def _found(grams: np.ndarray, seeds: np.ndarray) -> np.ndarray:
     return (seeds[at] == grams) & (grams > 0)
 
 
-def seed_counts(docs: DataFrame, text: str, seeds: np.ndarray) -> dict[int, int]:
-    """In how many of all documents each seed stands; at most as many numbers as there are seeds."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, text):
-                w = words(part.column(text))
-                at = np.flatnonzero(_found(w.gram, seeds))
-                row = np.searchsorted(w.starts, at, side="right")
-                both = np.unique(np.stack([row.astype(np.uint64), w.gram[at]]), axis=1) if len(at) else np.empty((2, 0), np.uint64)
-                gram, n = np.unique(both[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
-
-    rows = docs.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    return {r.gram & (2**64 - 1): r.n for r in rows}
-
-
-def keep_rare(items: Items, counts: dict[int, int], documents: int) -> Items:
-    """items with their rare seeds only; at least half of each item's seeds stay."""
-    n = np.array([counts.get(int(s), 0) for s in items.seed], np.float64)
-    usual = np.ones(len(items.ids))
-    for i in range(len(items.ids)):
-        own = n[items.seed_item == i]
-        usual[i] = np.median(own) if len(own) else 0
-    rare = n <= np.maximum(max(2.0, RARE_SHARE * documents), RARE_TIMES * usual[items.seed_item])
-    return Items(items.ids, items.words, items.single, items.weight, items.seed[rare], items.seed_item[rare], items.seed_at[rare])
-
-
 def runs(doc: np.ndarray, item: np.ndarray, free: np.ndarray, least: int) -> np.ndarray:
     """Which words of item the local alignments with doc hold; free says which may still be used.
 
@@ -191,30 +162,103 @@ def runs(doc: np.ndarray, item: np.ndarray, free: np.ndarray, least: int) -> np.
             free[p] = False
 
 
-def held_share(doc: np.ndarray, item: np.ndarray, at_doc: np.ndarray, at_item: np.ndarray, single: bool, wanted: float = 0.0) -> float:
-    """The part of the item's words that runs around the seeds hold.
+def reachable(docs: list[np.ndarray], items: list[np.ndarray], least: np.ndarray) -> list[np.ndarray]:
+    """Which words of each item stand in some alignment with its doc that scores its least.
 
-    Words of the item that don't stand near a seed at all can't be held; where so many are missing
-    that wanted can't be reached, nothing is aligned and the answer is 0.
+    All pairs are aligned side by side, from both ends: a match lies in an alignment that scores
+    what both ends bring to it. runs never holds a word that isn't reachable.
     """
-    n = len(item)
-    order = np.argsort(at_doc, kind="stable")
-    at_doc, at_item = at_doc[order], at_item[order]
-    cut = np.flatnonzero(np.diff(at_doc) > n) + 1
-    windows = []
-    for block in np.split(np.arange(len(at_doc)), cut):
-        begin = max(0, int((at_doc[block] - at_item[block]).min()) - 8, int(at_doc[block[0]]) - n - 8)
-        end = min(len(doc), max(int((at_doc[block] + n - at_item[block]).max()), int(at_doc[block[-1]]) + n) + 8)
-        windows.append(doc[begin:end])
-    if wanted and np.isin(item, np.concatenate(windows)).mean() < wanted:
-        return 0.0
-    least = LEAST_RUN[single] + MATCH * int(np.log2(max(1.0, len(doc) / USUAL)))
-    held = np.zeros(n, bool)
-    for window in windows:
-        held |= runs(window, item, ~held, least)
+    doc = np.full((len(docs), max(map(len, docs))), -1, np.int64)
+    item = np.full((len(items), max(map(len, items))), -2, np.int64)
+    for k, (d, i) in enumerate(zip(docs, items)):
+        doc[k, : len(d)], item[k, : len(i)] = d, i
+
+    def forward(doc: np.ndarray, item: np.ndarray) -> np.ndarray:
+        ramp = np.arange(item.shape[1] + 1, dtype=np.int32) * -GAP
+        score = np.zeros((doc.shape[1] + 1, len(doc), item.shape[1] + 1), np.int32)
+        for i in range(doc.shape[1]):
+            row = np.maximum(score[i] + GAP, 0)
+            step = np.where(doc[:, i, None] == item, np.int32(MATCH), np.int32(MISMATCH))
+            np.maximum(row[:, 1:], score[i, :, :-1] + step, out=row[:, 1:])
+            row += ramp
+            np.maximum.accumulate(row, axis=1, out=row)
+            np.subtract(row, ramp, out=score[i + 1])
+        return score[1:, :, 1:]
+
+    both = forward(doc, item)
+    both += forward(doc[:, ::-1], item[:, ::-1])[::-1, :, ::-1]
+    through = ((both >= least[None, :, None] + MATCH) & (doc.T[:, :, None] == item[None])).any(axis=0)
+    return [x[: len(i)] for x, i in zip(through, items)]
+
+
+def windows_of(length: int, n: int, at_doc: np.ndarray, at_item: np.ndarray) -> list[tuple[int, int]]:
+    """The parts of a document around the seeds of an item of n words; at_doc is in order."""
+    out, a = [], 0
+    for b in (*(np.flatnonzero(np.diff(at_doc) > n) + 1).tolist(), len(at_doc)):
+        offset = at_doc[a:b] - at_item[a:b]
+        begin = max(0, int(offset.min()) - 8, int(at_doc[a]) - n - 8)
+        out.append((begin, min(length, max(int(offset.max()) + n, int(at_doc[b - 1]) + n) + 8)))
+        a = b
+    return out
+
+
+def least_run(single: bool, length: int) -> int:
+    return LEAST_RUN[single] + MATCH * int(np.log2(max(1.0, length / USUAL)))
+
+
+def held_share(doc: np.ndarray, item: np.ndarray, windows: list[tuple[int, int]], least: int) -> float:
+    """The part of the item's words that runs in the windows of doc hold."""
+    held = np.zeros(len(item), bool)
+    for a, b in windows:
+        held |= runs(doc[a:b], item, ~held, least)
     return float(held.mean())
 
 
+def held_shares(w: Words, items: Items, groups: list[tuple[int, int, np.ndarray, np.ndarray]], wanted: float) -> list[float]:
+    """For each (row, item, at_doc, at_item) the part of the item that its row holds, 0 where less than wanted.
+
+    Two upper bounds come first, so that only pairs that can reach wanted are aligned in full: words of
+    the item that stand near a seed at all, and words that are reachable.
+    """
+    share = [0.0] * len(groups)
+    vocabulary = np.unique(np.concatenate(items.words))
+    own = [np.searchsorted(vocabulary, x) for x in items.words]
+    at = np.minimum(np.searchsorted(vocabulary, w.hash), len(vocabulary) - 1)
+    doc = np.where(vocabulary[at] == w.hash, at, len(vocabulary))
+    near = np.zeros(len(vocabulary) + 1, bool)
+    open_, possible = {}, {}
+    for g, (r, i, at_doc, at_item) in enumerate(groups):
+        base, length, n = w.starts[r], int(w.starts[r + 1] - w.starts[r]), len(own[i])
+        windows = windows_of(length, n, at_doc, at_item)
+        for a, b in windows:
+            near[doc[base + a : base + b]] = True
+        near[-1] = False
+        if near[own[i]].mean() >= wanted:
+            open_[g], possible[g] = windows, np.full(n, any((b - a) * n > CELLS for a, b in windows))
+        for a, b in windows:
+            near[doc[base + a : base + b]] = False
+    tasks = sorted((b - a, len(possible[g]), g, a, b) for g, windows in open_.items() if not possible[g].any() for a, b in windows)
+    begin = 0
+    while begin < len(tasks):
+        end, wide = begin + 1, tasks[begin][1]
+        while end < len(tasks) and tasks[end][0] * max(wide, tasks[end][1]) * (end + 1 - begin) <= CELLS:
+            wide = max(wide, tasks[end][1])
+            end += 1
+        part = tasks[begin:end]
+        rows = [groups[g][0] for _, _, g, _, _ in part]
+        least = np.array([least_run(items.single[groups[g][1]], int(w.starts[r + 1] - w.starts[r])) for r, (_, _, g, _, _) in zip(rows, part)])
+        found = reachable([doc[w.starts[r] + a : w.starts[r] + b] for r, (_, _, _, a, b) in zip(rows, part)], [own[groups[g][1]] for _, _, g, _, _ in part], least)
+        for (_, _, g, _, _), x in zip(part, found):
+            possible[g] |= x
+        begin = end
+    for g, windows in open_.items():
+        if possible[g].mean() >= wanted:
+            r, i = groups[g][:2]
+            text = w.hash[w.starts[r] : w.starts[r + 1]]
+            share[g] = held_share(text, items.words[i], windows, least_run(items.single[i], len(text)))
+    return share
+
+
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", held: float = HELD) -> DataFrame:
     """(doc_id, item_id, held): documents that hold at least held of an item's text, and how much.
 
@@ -224,13 +268,11 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     kind = dict(docs.dtypes)[doc_id]
     listed = items.select(F.col(item_id).cast("long").alias("i"), F.col(text).alias("t")).where("i is not null and t is not null").distinct()
     rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).where("d is not null and t is not null")
-    n_docs = rows.count()
     out = None
     block: list[tuple[int, str]] = []
 
     def against(block: list[tuple[int, str]]) -> DataFrame:
-        every = item_block(block)
-        kept = keep_rare(every, seed_counts(rows, "t", np.unique(every.seed)), n_docs) if len(every.seed) else every
+        kept = item_block(block)
         seeds, first = np.unique(kept.seed, return_index=True)
         last = np.append(first[1:], len(kept.seed))
 
@@ -238,7 +280,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
             for batch in batches:
                 for part in chunks(batch, "t"):
                     w = words(part.column("t"))
-                    row_of, item_of, share = [], [], []
+                    groups = []
                     at = np.flatnonzero(_found(w.gram, seeds)) if len(seeds) else np.empty(0, np.int64)
                     which = np.searchsorted(seeds, w.gram[at])
                     n = last[which] - first[which]
@@ -250,11 +292,10 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
                     at_doc, s, row, item = at_doc[order], s[order], row[order], item[order]
                     new = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1])]) if len(row) else np.empty(0, np.int64)
                     for a, b in zip(new, np.append(new[1:], len(row))):
-                        r, i = int(row[a]), int(item[a])
-                        base = w.starts[r]
-                        row_of.append(r)
-                        item_of.append(kept.ids[i])
-                        share.append(held_share(w.hash[base : w.starts[r + 1]], kept.words[i], at_doc[a:b] - base, kept.seed_at[s[a:b]], kept.single[i], held))
+                        r = int(row[a])
+                        groups.append((r, int(item[a]), at_doc[a:b] - w.starts[r], kept.seed_at[s[a:b]]))
+                    share = held_shares(w, kept, groups, held) if groups else []
+                    row_of, item_of = [g[0] for g in groups], [kept.ids[g[1]] for g in groups]
                     yield pa.RecordBatch.from_arrays([part.column("d").take(pa.array(row_of, pa.int64())), pa.array(item_of, pa.int64()), pa.array(share, pa.float64())], names=["doc_id", "item_id", "held"])
 
         return rows.mapInArrow(run, f"doc_id {kind}, item_id long, held double").where(F.col("held") >= held)

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from lexlake.llm.leakage import leaks, runs
+from lexlake.llm.leakage import leaks, reachable, runs
 
 DOCS, ITEMS = "doc_id long, text string, item_id int, t int", "item_id long, text string, lang string"
 WORDS = [a + b for a in "b d f g k l m n p r s t v z".split() for b in "ale ine oru ama eki upo".split()]
@@ -30,6 +30,19 @@ def test_alignment_score():
         assert runs(doc, item, np.ones(12, bool), best + 1).sum() == 0
 
 
+def test_reachable_holds_runs():
+    r = random.Random(5)
+    items = [np.array([r.randrange(5) for _ in range(r.randrange(4, 14))]) for _ in range(80)]
+    docs = [np.array([r.randrange(5) for _ in range(r.randrange(4, 40))]) for _ in items]
+    least = np.array([r.randrange(6, 16) for _ in items])
+    some = 0
+    for d, i, n, x in zip(docs, items, least, reachable(docs, items, least)):
+        assert not (runs(d, i, np.ones(len(i), bool), n) & ~x).any()
+        assert x.any() == (brute(d, i, [True] * len(i), n) >= n)
+        some += x.any()
+    assert 0 < some < 80
+
+
 def text(r, n):
     return " ".join(r.choice(WORDS) for _ in range(n))
 
@@ -51,6 +64,16 @@ def test_leaks(spark):
     assert got == want
 
 
+def test_half_in_many_documents(spark):
+    """Three runs of 12 words of 60 hold 24 of 56 seeds: more than half of the seeds stand nowhere."""
+    r = random.Random(11)
+    items = [(i, text(r, 60), "en") for i in range(3)]
+    w = items[0][1].split()
+    docs = [(k, " ".join([*w[24:36], text(r, 20), *w[:12], text(r, 20), *w[48:60]]) if k % 3 == 0 else text(r, 80), 1, 1) for k in range(90)]
+    got = {tuple(x) for x in leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).select("doc_id", "item_id").collect()}
+    assert got == {(k, 0) for k in range(0, 90, 3)}
+
+
 def test_empty(spark):
     d, i = spark.createDataFrame([], DOCS), spark.createDataFrame([], ITEMS)
     full = spark.createDataFrame([(1, "a b c d e f g", "en")], ITEMS)
