@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable
 from difflib import SequenceMatcher
 
@@ -90,6 +91,27 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b)], dtype=float)
 
 
+def ratio_from(a: Column, b: Column, least: float) -> Column:
+    """ratio where it is at least least, null elsewhere; by common letters, whose share ratio never exceeds, most pairs are left out."""
+
+    @F.pandas_udf(T.DoubleType())
+    def scored(a: pd.Series, b: pd.Series) -> pd.Series:
+        letters = {x: Counter(x) for x in {*a, *b} if x is not None}
+        out = []
+        for x, y in zip(a, b):
+            r = None
+            if x is not None and y is not None:
+                common, size, has = 0, len(x) + len(y), letters[y]
+                for c, n in letters[x].items():
+                    common += min(n, has[c])
+                if not size or 2.0 * common / size >= least:
+                    r = SequenceMatcher(None, x, y).ratio()
+            out.append(r if r is not None and r >= least else None)
+        return pd.Series(out, dtype=float)
+
+    return scored(a, b)
+
+
 def collapsed(c: Column) -> Column:
     """White space of any kind collapsed to single spaces and trimmed."""
     return F.trim(F.regexp_replace(c, r"[\s\p{Z}]+", " "))

@@ -9,8 +9,8 @@ from pyspark.sql.window import Window
 from lexlake.functions import text
 from lexlake.functions.stem import stem_list
 
-#: Candidates and answers of a suggestion, and the least similarity.
-CANDIDATES, SUGGESTIONS, SIMILAR = 400, 20, 0.75
+#: Answers of a suggestion, and the least similarity.
+SUGGESTIONS, SIMILAR = 20, 0.75
 K1, B = 1.2, 0.75
 DEFINED = 50
 
@@ -26,17 +26,16 @@ def gram_index(words: DataFrame, word: str, n: int = 3) -> DataFrame:
     return words.select(F.col(word).alias("word")).distinct().select("word", F.explode(grams(F.col("word"), n)).alias("gram"))
 
 
-def similar(index: DataFrame, queries: DataFrame, candidates: int = CANDIDATES, k: int = SUGGESTIONS) -> DataFrame:
+def similar(index: DataFrame, queries: DataFrame, k: int = SUGGESTIONS) -> DataFrame:
     """(query, word, ratio, rank): words close to each query, misspelt ones too.
 
-    Words that share trigrams with the query meet in an equi join, those that share most go
-    first; of at most candidates of them the edit similarity decides.
+    Words that share a trigram with the query and whose length lets them be similar enough meet in
+    an equi join; of all of them the edit similarity decides.
     """
     q = queries.select("query", F.explode(grams(F.col("query"))).alias("gram"))
-    shared = q.join(index, "gram").groupBy("query", "word").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("query").orderBy(F.desc("n"), F.length("word"), "word")
-    near = shared.withColumn("c", F.row_number().over(w)).where(F.col("c") <= candidates)
-    scored = near.withColumn("ratio", text.ratio("query", "word")).where(F.col("ratio") >= SIMILAR)
+    possible = 2.0 * F.least(F.length("query"), F.length("word")) >= SIMILAR * (F.length("query") + F.length("word")) - 1e-9
+    near = q.join(index, "gram").where(possible).select("query", "word").distinct()
+    scored = near.withColumn("ratio", text.ratio_from(F.col("query"), F.col("word"), SIMILAR)).where(F.col("ratio").isNotNull())
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("ratio"), "word"))
     return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "word", "ratio", "rank")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexlake.functions import text
 from lexlake.functions.stem import stem_list
 from lexlake.operators import search
 from lexlake.plans.dictionary_queries import _S, _TERMS, _senses, zh_terms
@@ -35,7 +36,9 @@ def trigram_overlap(spark: SparkSession, sf: str) -> DataFrame:
 
 def suggestions(spark: SparkSession, sf: str) -> DataFrame:
     """For every hundredth headword, misspelt, the headwords most like it."""
-    return search.similar(search.gram_index(_words(spark, sf), "word"), _misspelt(spark, sf))
+    words, q = _words(spark, sf), _misspelt(spark, sf)
+    short = search.short_suggestions(words, q).withColumn("ratio", text.ratio("query", "word"))
+    return search.similar(search.gram_index(words, "word"), q).unionByName(short)
 
 
 def contains_terms(spark: SparkSession, sf: str) -> DataFrame:
