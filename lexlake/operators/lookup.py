@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexlake.operators.search import containing
+
 #: Rows of hits that count for one question, and headwords that come out.
 HITS, ANSWERS = 5000, 40
 
@@ -26,10 +28,9 @@ def by_gloss(queries: DataFrame, terms: DataFrame, senses: DataFrame, entries: D
     """(query_id, word, exact, dictionaries, rank): headwords whose gloss is or contains the query.
 
     queries is (query_id, query), terms (sense_id, term), senses (sense_id, entry_id, dict_id),
-    entries (entry_id, headword). The questions are few and are held against all terms; Spark
-    broadcasts them under its own size threshold.
+    entries (entry_id, headword). Queries and terms meet in equi joins over n-grams.
     """
-    found = terms.join(queries, F.col("term").contains(F.col("query"))).withColumn("exact", F.col("term") == F.col("query"))
+    found = queries.join(containing(terms, queries, empty=True), "query").join(terms, "term").withColumn("exact", F.col("term") == F.col("query"))
     n = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("exact").desc(), F.length("term"), "term", "sense_id"))
     best = found.withColumn("n", n).where(F.col("n") <= hits)
     rows = best.join(senses, "sense_id").join(entries, "entry_id")

@@ -51,16 +51,21 @@ def short_suggestions(words: DataFrame, queries: DataFrame, k: int = SUGGESTIONS
     return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "word", "rank")
 
 
-def containing(terms: DataFrame, queries: DataFrame, n: int = 3) -> DataFrame:
-    """(query, term): terms that contain the query. A query of n characters or more first meets only
-    the terms that hold its rarest n-gram; shorter ones are held against all terms."""
+def containing(terms: DataFrame, queries: DataFrame, n: int = 3, empty: bool = False) -> DataFrame:
+    """(query, term): terms that contain the query; the empty query stands in none, or with empty in all.
+
+    A query of n characters or more first meets only the terms that hold its rarest n-gram; a shorter
+    one is itself an n-gram of the terms that hold it.
+    """
     index = gram_index(terms, "term", n)
-    long = queries.where(F.length("query") >= n).select("query", F.explode(grams(F.col("query"), n)).alias("gram"))
+    asked = queries.select("query").distinct()
+    long = asked.where(F.length("query") >= n).select("query", F.explode(grams(F.col("query"), n)).alias("gram"))
     counts = index.join(long.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count("*").alias("df"))
     rarest = long.join(counts, "gram", "left").groupBy("query").agg(F.min(F.struct(F.coalesce("df", F.lit(0)), "gram"))["gram"].alias("gram"))
     found = rarest.join(index, "gram").where(F.col("word").contains(F.col("query"))).select("query", F.col("word").alias("term"))
-    short = queries.where((F.length("query") < n) & (F.col("query") != "")).select("query")
-    rest = terms.select("term").distinct().join(short, F.col("term").contains(F.col("query"))).select("query", "term")
+    short = asked.where((F.length("query") < n) & (F.lit(empty) | (F.col("query") != "")))
+    parts = F.concat(F.array(F.lit("")), *(grams(F.col("term"), m) for m in range(1, n)))
+    rest = terms.select("term").distinct().where("term is not null").select("term", F.explode(parts).alias("query")).join(short, "query").select("query", "term")
     return found.unionByName(rest)
 
 

@@ -1,6 +1,7 @@
+import random
 from difflib import SequenceMatcher
 
-from lexlake.operators import search
+from lexlake.operators import lookup, search
 
 
 def test_similar_has_no_cut(spark):
@@ -12,3 +13,22 @@ def test_similar_has_no_cut(spark):
     got = {(r.query, r.word, r["rank"]): r.ratio for r in search.similar(search.gram_index(words, "word"), spark.createDataFrame([(query,), (None,)], "query string")).collect()}
     every = sorted(((-SequenceMatcher(None, query, w).ratio(), w) for (w,) in crowd + like if SequenceMatcher(None, query, w).ratio() >= search.SIMILAR))
     assert every and got == {(query, w, i + 1): -r for i, (r, w) in enumerate(every[: search.SUGGESTIONS])}
+
+
+def test_gloss_queries_of_any_length(spark):
+    """Every query against every term by brute force, without a join that holds all against all."""
+    r = random.Random(3)
+    terms = [(i, "".join(r.choice("天地玄黄") for _ in range(r.randrange(0, 7)))) for i in range(150)] + [(500, None)]
+    asked = [(i, "".join(r.choice("天地玄黄") for _ in range(r.randrange(0, 5)))) for i in range(60)] + [(90, None)]
+    t = spark.createDataFrame(terms, "sense_id long, term string")
+    q = spark.createDataFrame(asked, "query_id long, query string")
+    senses = t.selectExpr("sense_id", "sense_id AS entry_id", "sense_id % 3 AS dict_id")
+    entries = t.selectExpr("sense_id AS entry_id", "concat('w', sense_id) AS headword")
+    found = lookup.by_gloss(q, t, senses, entries, answers=1000)
+    held = search.containing(t, q)
+    pairs = [(i, x, s, y) for i, x in asked if x is not None for s, y in terms if y is not None and x in y]
+    assert {(a["query_id"], a["word"], a["exact"]) for a in found.collect()} == {(i, f"w{s}", int(x == y)) for i, x, s, y in pairs}
+    assert sorted(map(tuple, held.collect())) == sorted({(x, y) for _, x, _, y in pairs if x})
+    for plan in (found, held):
+        shown = plan._jdf.queryExecution().optimizedPlan().toString() + plan._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in shown and "Cartesian" not in shown
