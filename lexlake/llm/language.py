@@ -57,6 +57,13 @@ def code_of(label: str | None) -> str | None:
     return CODES.get(text) or CODES.get(re.split(r"[-\s(]", text)[0])
 
 
+def label_code(label: Column) -> Column:
+    """code_of as an expression."""
+    text = F.replace(F.lower(F.trim(label)), F.lit("_"), F.lit("-"))
+    known = F.create_map(*(F.lit(x) for pair in CODES.items() for x in pair))
+    return F.coalesce(F.try_element_at(known, text), F.try_element_at(known, F.get(F.split(text, r"[-\s(]"), F.lit(0))))
+
+
 _CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿"
 _BETWEEN = re.compile(rf"(?<=[{_CJK}、。，！？；：])\s+|\s+(?=[{_CJK}、。，！？；：])")
 _SPACE = re.compile(r"\s+")

@@ -40,34 +40,51 @@ class Leaf:
         return self.size * self.repeats
 
 
+@dataclass
+class Plan:
+    """The leaves with their quotas, the size asked for in all, and what no leaf could take of it."""
+
+    leaves: list[Leaf]
+    total: float
+    unplaced: float
+
+
 def budget(leaves: Sequence[Leaf], total: float, depth: int = 0) -> float:
-    """Sets the quotas of leaves that share their path up to depth; returns what they couldn't take."""
-    if not leaves:
-        return total
-    if len(leaves) == 1 and depth >= len(leaves[0].path):
-        leaf = leaves[0]
-        leaf.quota = min(total, leaf.most)
+    """Sets the quotas of leaves that share their path up to depth; returns what they couldn't take.
+
+    Only leaves with weight count, for their room too. As no branch is given more than its room,
+    what is left over at the top is what the whole tree can't take.
+    """
+    for leaf in leaves:
+        leaf.quota = 0.0
+    leaves = [x for x in leaves if x.weight > 0 and x.most > 0]
+    if not leaves or total <= 0:
+        return max(0.0, total)
+    if depth >= len(leaves[0].path):
+        (leaf,) = leaves
+        leaf.quota = min(total, float(leaf.most))
         return total - leaf.quota
     children: dict[str, list[Leaf]] = {}
     for leaf in leaves:
-        children.setdefault(leaf.path[depth] if depth < len(leaf.path) else "", []).append(leaf)
-    room = {k: sum(x.most for x in own) for k, own in children.items()}
+        children.setdefault(leaf.path[depth], []).append(leaf)
+    room = {k: float(sum(x.most for x in own)) for k, own in children.items()}
     weight = {k: sum(x.weight for x in own) for k, own in children.items()}
-    given = dict.fromkeys(children, 0.0)
-    left, open_ = total, [k for k in children if room[k] > 0 and weight[k] > 0]
-    while left > 1e-9 and open_:  # shortages go to the siblings that still have room
-        unit = left / sum(weight[k] for k in open_)
-        full = [k for k in open_ if given[k] + unit * weight[k] >= room[k]]
-        if not full:
-            for k in open_:
-                given[k] += unit * weight[k]
+    given: dict[str, float] = {}
+    left = float(total)
+    open_ = sorted(children, key=lambda k: (room[k] / weight[k], k))
+    while open_:  # the child that is full first, so that its shortage goes to the siblings that still have room
+        part = left * weight[open_[0]] / sum(weight[k] for k in open_)
+        if part < room[open_[0]]:
+            whole = sum(weight[k] for k in open_)
+            given.update({k: left * weight[k] / whole for k in open_})
             left = 0.0
             break
-        for k in full:
-            left -= room[k] - given[k]
-            given[k] = float(room[k])
-        open_ = [k for k in open_ if k not in full]
-    return left + sum(budget(own, given[k], depth + 1) for k, own in children.items())
+        k = open_.pop(0)
+        given[k] = room[k]
+        left = max(0.0, left - room[k])
+    for k, own in children.items():
+        left += budget(own, given[k], depth + 1)
+    return left
 
 
 def token_sizes(df: DataFrame, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -96,8 +113,8 @@ def texts(df: DataFrame, row_id: str, text: str, path: Sequence[str], tokenizer:
     return sized.groupBy("t").agg(F.min(F.struct("row_id", "leaf", "n_tokens")).alias("r")).select("r.*")
 
 
-def plan(sized: DataFrame, targets: DataFrame, path: Sequence[str], share: str, repeats: str, total: int | None = None) -> list[Leaf]:
-    """The leaves with their quotas; without a total, as many tokens are drawn as there are."""
+def plan(sized: DataFrame, targets: DataFrame, path: Sequence[str], share: str, repeats: str, total: int | None = None) -> Plan:
+    """The plan for sized (leaf, n_tokens); without a total, as many tokens are asked for as the leaves with a share have."""
     rows = targets.select(*path, share, repeats).limit(MAX_LEAVES + 1).collect()
     if len(rows) > MAX_LEAVES:
         raise ValueError(f"more than {MAX_LEAVES} targets")
@@ -113,8 +130,8 @@ def plan(sized: DataFrame, targets: DataFrame, path: Sequence[str], share: str,
     for r in sums.join(F.broadcast(listed), "leaf", "left_semi").collect() if listed is not None else []:
         leaves[tuple(r["leaf"])].size = r["n"] or 0
     out = list(leaves.values())
-    budget(out, float(sum(x.size for x in out) if total is None else total))
-    return out
+    asked = float(sum(x.size for x in out if x.weight > 0) if total is None else total)
+    return Plan(out, asked, budget(out, asked))
 
 
 def _edges(sized: DataFrame, state: list[tuple], kind: str, ranges: int) -> dict[tuple[str, ...], tuple[int, int, int]]:
@@ -133,25 +150,23 @@ def _edges(sized: DataFrame, state: list[tuple], kind: str, ranges: int) -> dict
     return {tuple(r["leaf"]): (r["e"]["h"], r["e"]["row_id"], r["e"]["before"]) for r in first.collect()}
 
 
-def mixture(df: DataFrame, targets: DataFrame, row_id: str = "doc_id", text: str = "text", path: Sequence[str] = ("source",), share: str = "target_share", repeats: str = "max_repeats", total: int | None = None, seed: int = 42, tokenizer: str = TOKENIZER, ranges: int = RANGES, rounds: int = 4) -> tuple[DataFrame, list[Leaf]]:
-    """((row_id, leaf, n_tokens, copies), leaves): the sample, and the plan it follows.
+def mixture(df: DataFrame, targets: DataFrame, row_id: str = "doc_id", text: str = "text", path: Sequence[str] = ("source",), share: str = "target_share", repeats: str = "max_repeats", total: int | None = None, seed: int = 42, tokenizer: str = TOKENIZER, ranges: int = RANGES) -> tuple[DataFrame, Plan]:
+    """((row_id, leaf, n_tokens, copies), plan): the sample, and the plan it follows.
 
     Rows whose leaf isn't among the targets, or has no share, aren't drawn. A text that stands
     under two ids is one text. copies says how often a row is to be used, at most repeats. A text
-    too long for what is left of its leaf's last epoch is passed over, up to rounds times.
+    too long for what is left of its leaf's last epoch is passed over, until no text fits.
     """
     h = F.shiftrightunsigned(F.xxhash64("row_id", F.lit(seed)), 1)
     sized = cut_lineage(texts(df, row_id, text, path, tokenizer).withColumn("h", h))
-    leaves = plan(sized, targets, path, share, repeats, total)
+    made = plan(sized, targets, path, share, repeats, total)
+    leaves = made.leaves
     kind = "struct<" + ", ".join(f"`{c}`: string" for c in path) + ">"
     last = 2**63 - 1
     spans: dict[tuple[str, ...], list[tuple[int, int, int, int, int]]] = {x.path: [] for x in leaves}
     whole = {x.path: int(x.quota // x.size) if x.size else 0 for x in leaves}
     state = [(x.path, -1, 0, int(round(x.quota)) - whole[x.path] * x.size) for x in leaves if x.size]
-    for _ in range(rounds):
-        state = [s for s in state if s[3] > 0]
-        if not state:
-            break
+    while state := [s for s in state if s[3] > 0]:  # each time a leaf has less room than the text that it passed over
         edges = _edges(sized, state, kind, ranges)
         after = []
         for path_, lo, lo_id, room in state:
@@ -169,23 +184,22 @@ def mixture(df: DataFrame, targets: DataFrame, row_id: str = "doc_id", text: str
         return above & below & (F.col("n_tokens") <= s["room"])
 
     got = sized.join(quotas, "leaf").withColumn("copies", F.col("whole") + F.exists("spans", inside).cast("int"))
-    return got.where("copies > 0").select(F.col("row_id").alias(row_id), "leaf", "n_tokens", "copies"), leaves
+    return got.where("copies > 0").select(F.col("row_id").alias(row_id), "leaf", "n_tokens", "copies"), made
 
 
-def report(sample: DataFrame, leaves: list[Leaf], path: Sequence[str] = ("source",)) -> DataFrame:
-    """One row for each target: the shares wanted and drawn, the tokens and what is missing."""
+def report(sample: DataFrame, made: Plan, path: Sequence[str] = ("source",)) -> DataFrame:
+    """One row for each target: the shares wanted and drawn, the tokens and what is missing of the asked total."""
     spark = sample.sparkSession
-    whole = sum(x.weight for x in leaves) or 1.0
-    total = sum(x.quota for x in leaves)
+    whole = sum(x.weight for x in made.leaves) or 1.0
     kind = "struct<" + ", ".join(f"`{c}`: string" for c in path) + ">"
     wanted = spark.createDataFrame(
-        [(x.path, x.weight / whole, x.repeats, x.size, int(round(total * x.weight / whole)), int(round(x.quota))) for x in leaves],
+        [(x.path, x.weight / whole, x.repeats, x.size, int(round(made.total * x.weight / whole)), int(round(x.quota))) for x in made.leaves],
         f"leaf {kind}, target_share double, max_repeats int, available_tokens long, wanted_tokens long, planned_tokens long",
     )
     got = sample.groupBy("leaf").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.count("*").alias("texts"), F.max("copies").alias("most_copies"))
     out = wanted.join(got, "leaf", "left").na.fill(0, ["tokens", "texts", "most_copies"])
-    out = out.crossJoin(F.broadcast(out.agg(F.sum("tokens").alias("all_tokens"))))  # one row
-    return out.select(
+    all_tokens = F.sum("tokens").over(Window.partitionBy())  # at most MAX_LEAVES rows
+    return out.withColumn("all_tokens", all_tokens).select(
         *(F.col(f"leaf.{c}").alias(c) for c in path), "target_share",
         F.when(F.col("all_tokens") > 0, F.col("tokens") / F.col("all_tokens")).otherwise(0.0).alias("actual_share"),
         "available_tokens", "wanted_tokens", "planned_tokens", "tokens", "texts", "max_repeats", "most_copies",

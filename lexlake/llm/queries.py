@@ -74,6 +74,22 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.report(*mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_target")))
 
 
+#: Languages of the tree of p8_tree with their weights; other and missing labels make one more.
+LANGUAGES = {"en": 0.4, "zh": 0.3, "de": 0.05, "fr": 0.05, "es": 0.05, "it": 0.04, "nl": 0.04, "ja": 0.04, "ru": 0.03}
+
+
+def p8_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """The report of a mixture down a tree of domains, languages and sources."""
+    domain = F.when(F.col("source").isin("reading_text", "learner_forum", "example_set"), "texts").otherwise("reference").alias("domain")
+    targets = table(spark, sf, "mix_target").select(
+        domain, F.explode(F.create_map(*(F.lit(x) for pair in LANGUAGES.items() for x in pair))).alias("language", "part"), "source", "target_share", "max_repeats"
+    )
+    targets = targets.withColumn("target_share", F.col("target_share") * F.col("part")).drop("part")
+    rows = table(spark, sf, "documents").select("doc_id", "text", domain, language.label_code(F.col("lang")).alias("language"), "source")
+    path = ("domain", "language", "source")
+    return mixing.report(*mixing.mixture(rows, targets, path=path), path)
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     limit, overlap = splitting.limits(table(spark, sf, "split_limit"))
     pieces = splitting.split(table(spark, sf, "documents"), "doc_id", "text", limit, overlap, only_long=True)
@@ -87,7 +103,7 @@ def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p2_found, p2_unmatched, p3_found, p3_segments, p4_found, p4_records, p5_found, p5_fused, p6_found, p6_forms, p7_found, p8_mix, p8_report, p9_found, p9_pieces)
+    for f in (p2_found, p2_unmatched, p3_found, p3_segments, p4_found, p4_records, p5_found, p5_fused, p6_found, p6_forms, p7_found, p8_mix, p8_report, p8_tree, p9_found, p9_pieces)
 }
 
 _VALUE = "CASE WHEN {c} IS NULL OR lower(trim({c}, ' \u3000\u00a0')) IN ('', 'null', 'none', 'nil', 'nan', 'n/a', 'na', 'n.a.', 'unknown', 'undefined', '无', '暂无') OR NOT regexp_matches({c}, '[\\p{{L}}\\p{{N}}]') THEN 0 ELSE 1 END"
