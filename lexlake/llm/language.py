@@ -2,7 +2,8 @@
 
 A text is compressed with one zstandard raw-content dictionary for each language that its scripts
 leave and takes the language whose dictionary makes it smallest; where the margin over the next is
-narrow, it takes none. The dictionaries are fitted on a bounded sample of labelled rows. As labels are noisy, a
+narrow, it takes none. Where the scripts leave one language, the text without a dictionary is the
+next: a text that the dictionary doesn't help with is in a language that isn't listed, or in none. The dictionaries are fitted on a bounded sample of labelled rows. As labels are noisy, a
 sentence goes into a dictionary only if the words of the whole sample agree with its label.
 """
 
@@ -30,6 +31,8 @@ LEAST_BYTES, LEAST_SHARE = 3, 0.06
 #: A segment of fewer words (ideographs) is no sentence. Longer ones than LONG characters are also
 #: read in blocks of BLOCK.
 LEAST_WORDS, LONG, BLOCK = 4, 220, 90
+#: Confidence from which the blocks of a long text speak for the whole.
+CLEAR = 0.4
 #: How much better, as a logarithm, the words of a training sentence must fit its label than others.
 AGREE = 1.0
 
@@ -64,12 +67,15 @@ def label_code(label: Column) -> Column:
     return F.coalesce(F.try_element_at(known, text), F.try_element_at(known, F.get(F.split(text, r"[-\s(]"), F.lit(0))))
 
 
-_CJK = "぀-ヿ㐀-䶿一-鿿豈-﫿"
+# Kana, ideographs and compatibility ideographs, as ranges of a pattern.
+_HAN = r"\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+_KANA = r"\u3041-\u30ff"
+_CJK = _KANA + _HAN
 _BETWEEN = re.compile(rf"(?<=[{_CJK}、。，！？；：])\s+|\s+(?=[{_CJK}、。，！？；：])")
 _SPACE = re.compile(r"\s+")
 _ODD = re.compile("[­​-‏⁠﻿]")
 _END = re.compile(rf"[.!?…]+[\"'”’»)\]]*(?=\s|$|[A-ZÀ-ÞА-Я¡¿{_CJK}])|[。！？]+[」』”’》）]*|\n+|(?<=[{_CJK}])(?=[A-ZÀ-Þ][^\W\d_]* [^{_CJK}。]{{24}})|(?<=[^\W\d_]{{2}})(?=[А-Я][а-яё]* [а-яё]+ )|(?<=[а-яё])(?=[A-ZÀ-Þ][^\W\d_]* [^а-яё]{{24}})")
-_SCRIPTS = {"han": re.compile("[㐀-䶿一-鿿豈-﫿]"), "kana": re.compile("[ぁ-ヿ]"), "cyrillic": re.compile("[Ѐ-ӿ]"), "latin": re.compile("[a-zà-ɏ]")}
+_SCRIPTS = {"han": re.compile(f"[{_HAN}]"), "kana": re.compile(f"[{_KANA}]"), "cyrillic": re.compile(r"[\u0400-\u04ff]"), "latin": re.compile(r"[a-z\u00e0-\u024f]")}
 _LATIN = frozenset({"latin"})
 _WORD = re.compile(rf"[{_CJK}]|[^\W\d_{_CJK}]+")
 
@@ -132,7 +138,7 @@ class Classifier:
 
     needs and lacks hold the scripts that nearly every, or hardly any, training text of a
     language has. A language that the scripts of a text rule out can't win, nor does the margin
-    over it count.
+    over it count. The label "" stands for no dictionary.
     """
 
     dictionaries: dict[str, bytes]
@@ -170,13 +176,14 @@ class Classifier:
                     d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                     d.precompute_compress(level=level)
                     own[label] = zstandard.ZstdCompressor(level=level, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False).compress
+                own[""] = zstandard.ZstdCompressor(level=level, write_content_size=False, write_checksum=False).compress
                 self._made.append(own)
         return self._made[closer]
 
     def sizes(self, data: bytes, labels: tuple[str, ...] | None = None, closer: bool = False) -> list[tuple[int, str]]:
         """Compressed bytes for each language, smallest first."""
         own = self._compressors(closer)
-        return sorted([(len(own[label](data)), label) for label in labels or own])
+        return sorted([(len(own[label](data)), label) for label in labels or self.dictionaries])
 
     def possible(self, text: str) -> tuple[str, ...]:
         """The languages that the scripts of a text leave."""
@@ -196,7 +203,7 @@ class Classifier:
             return None, 0.0
         left = self.possible(text)
         if len(left) == 1:
-            return left[0], 1.0
+            left = (*left, "")
         data = text.encode("utf-8", "surrogatepass")
         confidence = 0.0
         for closer in (False, True):
@@ -204,7 +211,7 @@ class Classifier:
             margin = second[0] - best[0]
             confidence = min(1.0, margin / max(1, second[0]))
             if margin >= max(self.least_bytes, self.least_share * len(data)):
-                return best[1], confidence
+                return best[1] or None, confidence
         return None, confidence
 
     def nearest(self, text: str) -> str | None:
@@ -246,24 +253,19 @@ def packed(texts: Iterable[str], most: int = DICT_BYTES) -> bytes:
 
 
 def sample(rows: DataFrame, per_label: int = SAMPLE_ROWS) -> DataFrame:
-    """About per_label rows of each label of (label, row_id, text), those with the smallest hashes."""
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(1000).collect()
-    share = F.lit(0.0)
-    grouped: dict[str, list] = defaultdict(list)
-    for r in counts:
-        if r.label is not None:
-            grouped[code_of(r.label) or r.label].append(r)
-    for own in grouped.values():
-        n = sum(r["count"] for r in own)
-        share = F.when(F.col("label").isin([r.label for r in own]), F.lit(per_label / n)).otherwise(share)
+    """About per_label rows of each label of (label, row_id, text), by the hash of row_id; the labels must be few."""
+    counts = rows.where("label is not null").groupBy("label").count().collect()
+    if not counts:
+        return rows.limit(0)
+    shares = F.create_map(*(x for r in counts for x in (F.lit(r["label"]), F.lit(per_label / r["count"]))))
     place = F.pmod(F.xxhash64("row_id"), F.lit(1 << 40)) / float(1 << 40)
-    return rows.where(place < share)
+    return rows.where(place < F.try_element_at(shares, F.col("label")))
 
 
 def fit_languages(documents: DataFrame, sides: list[tuple[DataFrame, str, str]]) -> Classifier:
     """Fits on at most about SAMPLE_ROWS labelled documents for each notation's language, with at
     most SAMPLE_SENTENCES of each, and on as many texts of each of sides (table, column, language)."""
-    rows = sample(documents.select(F.col("lang").alias("label"), F.col("doc_id").alias("row_id"), "text").where("lang is not null and text is not null"))
+    rows = sample(documents.select(label_code(F.col("lang")).alias("label"), F.col("doc_id").alias("row_id"), "text").where("lang is not null and text is not null"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -301,9 +303,13 @@ def segments(text: str, model: Classifier) -> list[tuple[int, int, str | None, f
             for a, b in blocks(text, begin, end):
                 p = plain(text[a:b])
                 parts.append((a, b, *(model.classify(p) if words_at_least(p, 2 * LEAST_WORDS) else (None, 0.0))))
-            if len({x[2] for x in parts if x[2]}) > 1:
+            told = [x for x in parts if x[2]]
+            if len({x[2] for x in told}) > 1:
                 out += parts
                 continue
+            mean = sum(x[3] for x in told) / max(1, len(told))
+            if lang is None and mean >= CLEAR and 2 * sum(x[1] - x[0] for x in told) >= end - begin:  # a long text helps itself more than a dictionary does
+                lang, sure = told[0][2], mean
         out.append((begin, end, lang, sure))
     return out
 

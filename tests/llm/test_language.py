@@ -67,3 +67,28 @@ def test_segments(spark):
 
 def test_empty_tables(spark):
     assert L.found(spark.createDataFrame([], DOCS), spark.createDataFrame([], PAIRS), spark.createDataFrame([], SNAPS)).count() == 0
+
+
+def test_languages_that_are_not_listed():
+    """Scripts alone decide nothing: a text that no dictionary helps with has no language."""
+    ru = "кошка сидела на старом коврике,когда идёт дождь дверь остаётся открытой,никто не знает почему лампа сломана".split(",")
+    model = L.Classifier.of({"en": EN, "de": DE, "zh": ZH, "ru": ru})
+    assert model.possible(L.plain("Київ є столицею України")) == ("ru",)
+    for text in ("Київ є столицею України та найбільшим містом країни.", "한국의 수도는 서울이고 인구는 약 천만 명이다.", "東京大学法学部入学試験問題集改訂版", "이것은 한국어 문장입니다"):
+        assert model.classify(L.plain(text))[0] is None
+    assert model.classify(L.plain("никто не знает почему кошка сидела"))[0] == "ru" and model.classify(L.plain("没有人知道灯为什么坏了"))[0] == "zh"
+    assert not L.scripts("한국어") and L.scripts("豈更")["han"] == 2
+
+
+def test_long_text_without_ends():
+    model = L.Classifier.of({"en": EN, "de": DE, "zh": ZH})
+    text = "".join(ZH[i % 5] for i in range(400))
+    assert [x[2] for x in L.segments(text, model)] == ["zh"]
+
+
+def test_label_code(spark):
+    from pyspark.sql import functions as F
+
+    labels = ["EN", "en_GB", "English", "zh-Hans", "jpn", "und", "", None, "??", "German (old)"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in labels], "x string").select(L.label_code(F.col("x"))).collect()]
+    assert got == [L.code_of(x) for x in labels]
