@@ -8,13 +8,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Code points from here on are mapped to themselves (CJK extensions) or skipped (tags, private).
-TABLE = 0x20000
+#: One more than the last code point; all tables are this long.
+TABLE = 0x110000
+#: Where code points may map to anything but themselves. The rest are ideographs of the later
+#: extensions, private use and unassigned: no case, no decomposition, no punctuation.
+MAPPED = (range(0x20000), range(0x2F800, 0x2FA20), range(0xE0000, 0xE1000))
 CHUNK_CHARS = 2_000_000
 
 
@@ -63,43 +67,37 @@ def chunks(batch: pa.RecordBatch, *columns: str) -> Iterator[pa.RecordBatch]:
 class CodeMap:
     """A mapping of each code point to none, one or several others, as lookup tables."""
 
-    def __init__(self, f: Callable[[int], str], beyond: Callable[[np.ndarray], np.ndarray] | None = None):
-        out = [f(c) if not 0xD800 <= c < 0xE000 else "" for c in range(TABLE)]
-        self.size = np.array([len(x) for x in out], np.uint8)
-        self.first = np.array([ord(x[0]) if x else 0 for x in out], np.uint32)
+    def __init__(self, f: Callable[[int], str]):
+        self.size = np.ones(TABLE, np.uint8)
+        self.first = np.arange(TABLE, dtype=np.uint32)
+        self.offset = np.zeros(TABLE, np.int32)
+        pool: list[int] = [0]
+        for c in chain.from_iterable(MAPPED):
+            out = f(c) if not 0xD800 <= c < 0xE000 else ""
+            self.size[c] = len(out)
+            self.first[c] = ord(out[0]) if out else 0
+            if len(out) > 1:
+                self.offset[c] = len(pool)
+                pool.extend(map(ord, out))
         self.many = self.size > 1
-        pool, self.offset = [], np.zeros(TABLE, np.int64)
-        for c in np.flatnonzero(self.many):
-            self.offset[c] = len(pool)
-            pool.extend(map(ord, out[c]))
-        self.pool = np.array(pool or [0], np.uint32)
+        self.pool = np.array(pool, np.uint32)
 
     def apply(self, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        low = codes < TABLE
-        inside = np.where(low, codes, 0)
-        size = self.size[inside].astype(np.int64)
-        first = self.first[inside]
-        if not low.all():
-            tags = codes >= 0xE0000
-            size = np.where(low, size, np.where(tags, 0, 1))
-            first = np.where(low, first, codes)
+        size = self.size[codes].astype(np.int64)
         ends = np.zeros(len(codes) + 1, np.int64)
         np.cumsum(size, out=ends[1:])
-        many = low & self.many[inside]
-        if not many.any():
-            return first[size > 0], ends[starts]
+        first = self.first[codes]
+        long = np.flatnonzero(size > 1)
+        if not len(long):
+            return (first if ends[-1] == len(codes) else first[size > 0]), ends[starts]
         out = np.zeros(ends[-1], np.uint32)
         one = size == 1
         out[ends[:-1][one]] = first[one]
-        for i in np.flatnonzero(many):
-            o = self.offset[codes[i]]
-            out[ends[i] : ends[i + 1]] = self.pool[o : o + size[i]]
+        n = size[long]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat(ends[long], n) + step] = self.pool[np.repeat(self.offset[codes[long]].astype(np.int64), n) + step]
         return out, ends[starts]
 
-    def kept(self, codes: np.ndarray) -> np.ndarray:
-        """Which code points aren't skipped."""
-        return np.where(codes < TABLE, self.size[np.where(codes < TABLE, codes, 0)] > 0, codes < 0xE0000)
-
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijective mixer of 64-bit integers (splitmix64)."""

@@ -52,7 +52,10 @@ def _kinds() -> tuple[CodeMap, np.ndarray]:
             return 2
         return int(unicodedata.category(chr(c))[0] in "LNM")
 
-    return CodeMap(lambda c: chr(c).casefold()), np.array([kind(c) for c in range(TABLE)], np.uint8)
+    kinds = np.zeros(TABLE, np.uint8)
+    kinds[:0x20000] = [kind(c) for c in range(0x20000)]
+    kinds[0x20000:0x40000] = 2  # ideographs
+    return CodeMap(lambda c: chr(c).casefold()), kinds
 
 
 @dataclass
@@ -79,7 +82,7 @@ class Words:
 def words(col: pa.Array) -> Words:
     fold, kinds = _kinds()
     codes, starts = fold.apply(*one_form_codes(*flatten(col)))
-    kind = np.where(codes < TABLE, kinds[np.where(codes < TABLE, codes, 0)], 2)
+    kind = kinds[codes]
     begins = kind == 2
     inner = kind == 1
     before = np.zeros(len(codes), bool)

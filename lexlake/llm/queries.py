@@ -61,6 +61,11 @@ def p6_forms(spark: SparkSession, sf: str) -> DataFrame:
     return entry.select(F.lit("entry").alias("tbl"), "id", F.col("headword").alias("text"), F.col("norm").alias("other")).unionAll(pair.select(F.lit("pair"), "id", "zh", "zh_hans")).distinct()
 
 
+def p6_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """The spellings of each headword of a dictionary that look the same."""
+    return lookalike.look_alike_classes(table(spark, sf, "entry"), "dict_id", "id", "headword").withColumnRenamed("g", "dict_id")
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_item")).select("doc_id", "item_id")
 
@@ -103,7 +108,7 @@ def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p2_found, p2_unmatched, p3_found, p3_segments, p4_found, p4_records, p5_found, p5_fused, p6_found, p6_forms, p7_found, p8_mix, p8_report, p8_tree, p9_found, p9_pieces)
+    for f in (p2_found, p2_unmatched, p3_found, p3_segments, p4_found, p4_records, p5_found, p5_fused, p6_found, p6_forms, p6_classes, p7_found, p8_mix, p8_report, p8_tree, p9_found, p9_pieces)
 }
 
 _VALUE = "CASE WHEN {c} IS NULL OR lower(trim({c}, ' \u3000\u00a0')) IN ('', 'null', 'none', 'nil', 'nan', 'n/a', 'na', 'n.a.', 'unknown', 'undefined', '无', '暂无') OR NOT regexp_matches({c}, '[\\p{{L}}\\p{{N}}]') THEN 0 ELSE 1 END"
