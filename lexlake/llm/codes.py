@@ -116,6 +116,11 @@ def _powers(base: int, bits: int) -> np.ndarray:
         return np.cumprod(p)
 
 
+def powers(seed: int, bits: int) -> np.ndarray:
+    """The powers of a base up to 2 ** bits."""
+    return _powers(BASES[seed % 2], bits)
+
+
 BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 
 

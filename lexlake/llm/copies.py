@@ -1,8 +1,9 @@
 """Problem 4: records that are the same but for white space, case, punctuation or field order.
 
-Each text is read once through a table that skips or folds every code point, straight into
-polynomial hashes; no canonical string is made. Records that share their key are sorted next to
-each other and compared with the first of their group by a skipping comparison, so that a
+Each text is read once through a table that says of every code point how much it adds to rolling
+polynomial hashes and by how many places it moves them on: nothing for what is skipped, the folded
+letters for the others. No canonical string is made. Records that share their key are sorted next
+to each other and compared with the first of their group by two pointers that skip, so that a
 collision of hashes can't merge different records.
 """
 
@@ -18,13 +19,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexlake.llm.codes import CodeMap, chunks, flatten, mix, segment_hash
+from lexlake.llm.codes import CodeMap, chunks, flatten, mix, powers
 from lexlake.session import cut_lineage
 
 #: A key with more rows than this is split over SALTS tasks.
 HOT_ROWS = 50_000
 SALTS = 64
 KEYS = "k1 long, k2 long, swapped boolean"
+#: Steps that pairs of texts are compared side by side, and characters of a block of those compared alone.
+STEPS, BLOCK = 2_000, 65_536
 NULL = np.uint64(0x6E756C6C6E756C6C)
 
 
@@ -35,14 +38,37 @@ def fold_table() -> CodeMap:
     return CodeMap(lambda c: "" if unicodedata.category(chr(c)) in skip else chr(c).casefold())
 
 
+@lru_cache(maxsize=2)
+def _weights(seed: int) -> np.ndarray:
+    """What each code point adds to a polynomial hash where its first folded letter stands at power 0."""
+    table, power = fold_table(), powers(seed, 4)
+    with np.errstate(over="ignore"):
+        out = np.where(table.size > 0, mix(table.first, seed), np.uint64(0))
+        for c in np.flatnonzero(table.many):
+            n = int(table.size[c])
+            letters = table.pool[table.offset[c] : table.offset[c] + n]
+            out[c] = (mix(letters, seed) * power[:n]).sum()
+    return out
+
+
 def text_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit hashes of each text as read through the table; null has hashes of its own."""
-    codes, starts = fold_table().apply(*flatten(col))
-    a, b = segment_hash(codes, starts, 0), segment_hash(codes, starts, 1)
+    codes, starts = flatten(col)
+    place = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(fold_table().size[codes], out=place[1:])
+    size = place[starts[1:]] - place[starts[:-1]]
+    place = place[:-1] - np.repeat(place[starts[:-1]], np.diff(starts))
+    bits = max(4, (int(size.max()) if len(size) else 0).bit_length())
+    out = []
+    with np.errstate(over="ignore"):
+        for seed in (0, 1):
+            total = np.zeros(len(codes) + 1, np.uint64)
+            np.cumsum(_weights(seed)[codes] * powers(seed, bits)[place], out=total[1:])
+            out.append(mix((total[starts[1:]] - total[starts[:-1]]) ^ mix(size.astype(np.uint64), seed + 11), seed))
     if col.null_count:
         gone = ~col.is_valid().to_numpy(zero_copy_only=False)
-        a, b = np.where(gone, NULL, a), np.where(gone, NULL, b)
-    return a, b
+        out = [np.where(gone, NULL, h) for h in out]
+    return out[0], out[1]
 
 
 def record_key(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,31 +98,75 @@ def keyed(df: DataFrame, left: str, right: str, texts: bool) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def same_texts(codes: np.ndarray, starts: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the texts at a[k] and b[k] are the same for every k, read through the table.
+
+    Two pointers run over the texts as they are; each skips what doesn't count and waits where the
+    other skips. The pairs run side by side, those still running after STEPS steps one by one.
+    """
+    table = fold_table()
+    codes = codes if len(codes) else np.zeros(1, np.uint32)
+    out = np.ones(len(a), bool)
+    run = np.arange(len(a))
+    at, end = (np.stack([x[a], x[b]]) for x in (starts[:-1], starts[1:]))
+    inner = np.zeros_like(at)  # the place within the folded letters of one character
+    for _ in range(STEPS):
+        if not len(run):
+            return out
+        here = at < end
+        c = codes[np.where(here, at, 0)]
+        size = np.where(here, table.size[c], 1)
+        skip = size == 0
+        at[skip] += 1
+        both = ~skip.any(axis=0)
+        letter = np.where(size > 1, table.pool[np.where(size > 1, table.offset[c] + inner, 0)], table.first[c])
+        differ = both & ((here[0] != here[1]) | here[0] & here[1] & (letter[0] != letter[1]))
+        out[run[differ]] = False
+        go = both & here
+        inner += go
+        done = go & (inner >= size)
+        at += done
+        inner[done] = 0
+        left = ~differ & (skip.any(axis=0) | here.any(axis=0))
+        if not left.all():
+            run, at, end, inner = run[left], at[:, left], end[:, left], inner[:, left]
+    for k in run.tolist():
+        out[k] = _same_long(codes[starts[a[k]] : starts[a[k] + 1]], codes[starts[b[k]] : starts[b[k] + 1]])
+    return out
+
+
+def _same_long(a: np.ndarray, b: np.ndarray) -> bool:
+    """same_texts of two long texts, in blocks of BLOCK characters."""
+    table, at, rest = fold_table(), [0, 0], [np.empty(0, np.uint32)] * 2
+    while True:
+        for side, text in enumerate((a, b)):
+            while not len(rest[side]) and at[side] < len(text):
+                part = text[at[side] : at[side] + BLOCK]
+                rest[side] = table.apply(part, np.array([0, len(part)]))[0]
+                at[side] += len(part)
+        n = min(len(rest[0]), len(rest[1]))
+        if not n:
+            return not len(rest[0]) and not len(rest[1])
+        if (rest[0][:n] != rest[1][:n]).any():
+            return False
+        rest = [r[n:] for r in rest]
+
+
 class _Pointers:
-    """Places of the characters that count, in all texts of a batch."""
+    """The texts of a batch of records, as they stand."""
 
     def __init__(self, first: pa.Array, second: pa.Array):
-        self.codes, self.starts, self.null = [], [], []
-        for col in (first, second):
-            codes, starts = fold_table().apply(*flatten(col))
-            self.codes.append(codes)
-            self.starts.append(starts)
-            self.null.append(~col.is_valid().to_numpy(zero_copy_only=False))
+        self.texts = [(*flatten(col), ~col.is_valid().to_numpy(zero_copy_only=False)) for col in (first, second)]
 
     def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether the records at a and b are the same, both texts read side by side."""
         out = np.ones(len(a), bool)
-        for codes, starts, null in zip(self.codes, self.starts, self.null):
-            size = starts[a + 1] - starts[a]
-            out &= (size == starts[b + 1] - starts[b]) & (null[a] == null[b])
-            at = np.flatnonzero(out & (size > 0))
-            if not len(at):
-                continue
-            n = size[at]
-            begin = np.cumsum(n) - n
-            step = np.arange(n.sum()) - np.repeat(begin, n)
-            differ = codes[np.repeat(starts[a[at]], n) + step] != codes[np.repeat(starts[b[at]], n) + step]
-            out[at[np.add.reduceat(differ, begin) > 0]] = False
+        for codes, starts, null in self.texts:
+            ask = np.flatnonzero(out & (a != b))
+            one, two = a[ask], b[ask]
+            same = null[one] == null[two]
+            same[same] = same_texts(codes, starts, one[same], two[same])
+            out[ask] = same
         return out
 
 
@@ -155,8 +225,10 @@ def copies(df: DataFrame, row_id: str, left: str, right: str, hot_rows: int = HO
     rows = df.select(F.col(row_id).alias("id"), F.col(left).alias("a"), F.col(right).alias("b")).where("id is not null")
     counts = keyed(rows.select("a", "b"), "a", "b", texts=False).groupBy("k1").count()
     hot = [r.k1 for r in counts.where(F.col("count") > hot_rows).select("k1").collect()]
-    salt = F.when(F.col("k1").isin(hot), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(-1) if hot else F.lit(-1).cast("long")
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(-1) if hot else F.lit(-1).cast("long")
     keys = keyed(rows, "a", "b", texts=True)
+    if hot:  # 8 bytes for each key that has more than hot_rows rows
+        keys = keys.join(F.broadcast(df.sparkSession.createDataFrame([(k, True) for k in hot], "k1 long, hot boolean")), "k1", "left")
     ordered = keys.select(
         "k1", "k2", salt.cast("long").alias("salt"), "id",
         F.when(F.col("swapped"), F.col("b")).otherwise(F.col("a")).alias("a"),

@@ -2,7 +2,13 @@ import random
 import unicodedata
 from collections import defaultdict
 
-from lexlake.llm.copies import collapsed, copies
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from lexlake.llm.codes import flatten
+from lexlake.llm.copies import collapsed, copies, same_texts, text_hashes
 
 SCHEMA = "id long, en string, zh string, first_id long, k1 long, salt string, a int"
 SKIP = {"Zs", "Zl", "Zp", "Cc", "Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po"}
@@ -56,6 +62,24 @@ def test_collision_is_told_apart(spark, monkeypatch):
     assert sorted(out) == [(1, 3), (2, 4)]
 
 
+@given(st.lists(st.text(alphabet="aAsSßẞİ .,!-中ﬀéé", max_size=6), min_size=2, max_size=12))
+@settings(max_examples=300, deadline=None)
+def test_hash_and_pointers(texts):
+    col = pa.array(texts)
+    n = len(texts)
+    a, b = np.repeat(np.arange(n), n), np.tile(np.arange(n), n)
+    want = [bare(texts[i]) == bare(texts[j]) for i, j in zip(a, b)]
+    assert same_texts(*flatten(col), a, b).tolist() == want
+    h = text_hashes(col)
+    assert [bool(h[0][i] == h[0][j] and h[1][i] == h[1][j]) for i, j in zip(a, b)] == want
+
+
+def test_long_texts():
+    base = "ß, word " * 40_000
+    col = pa.array([base, base.upper().replace(" ", "  "), base + "x", base[:-9] + "q word"])
+    assert same_texts(*flatten(col), np.array([0, 0, 0, 2]), np.array([1, 2, 3, 2])).tolist() == [True, False, False, True]
+
+
 def test_counts_and_empty(spark):
     df = spark.createDataFrame([(1, "a", "b"), (2, "A", "b."), (3, "c", "d"), (3, "c", "d")], "id long, en string, zh string")
     assert sorted(map(tuple, collapsed(df, "id", "en", "zh").collect())) == [(1, 2), (3, 1)]
