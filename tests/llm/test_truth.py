@@ -1,8 +1,9 @@
+import random
 from collections import Counter
 
 import numpy as np
 
-from lexlake.llm.truth import dependence, fused, vote
+from lexlake.llm.truth import Sources, dependence, fused, vote
 
 PAIRS = "cluster long, dictionary_id long, zh_hans string, kind string, headword string, p int, sources int"
 
@@ -26,14 +27,41 @@ def test_copied_votes_count_for_little(spark):
     assert all(got[c, "kind"].posterior > 0.9 for c in range(90)) and not [k for k in got if k[1] == "headword"]
 
 
+def test_spread_groups_give_the_same(spark):
+    d = spark.createDataFrame([(i, None) for i in range(1, 10)], "id long, precision double")
+    df = spark.createDataFrame(data() + [(0, 1 + i % 9, f"v{i % 40}", "k", "h", 1, 1) for i in range(300)], PAIRS)
+    one, many = (sorted(map(tuple, fused(df, d, hot_records=n).collect())) for n in (10**6, 50))
+    assert one == many and len(one) > 180
+
+
 def test_dependence_and_votes():
     a = np.array([0.8, 0.8, 0.8])
-    z = np.zeros((3, 3))
-    false = z.copy()
-    false[0, 1] = false[1, 0] = 10
-    dep = dependence(false, z + 3, a)
-    assert dep[0, 1] > 0.9 > 0.1 > dep[0, 2] and dep[0, 0] == 0
-    assert vote(np.array([0, 1]), a, dep) < vote(np.array([0, 2]), a, dep)
+    pairs = np.array([1, 2])  # 0 with 1, 0 with 2
+    dep = dependence(np.array([10, 0]), np.array([3, 3]), a[[0, 0]], a[[1, 2]])
+    known = Sources(a, pairs, np.array([13, 3]), dep)
+    assert dep[0] > 0.9 > 0.1 > dep[1] and known.of(np.array([1, 2]), np.array([0, 1])).tolist() == [dep[0], 0.0]
+    assert vote(np.array([0, 1]), known) < vote(np.array([0, 2]), known)
+
+
+def test_accuracy_on_planted_truth(spark):
+    """20 independent sources of different accuracy and a clique of 6 copiers of a bad one: fusion beats the majority."""
+    r, rows, truth = random.Random(9), [], {}
+    good = [0.55 + 0.4 * i / 19 for i in range(20)]
+    for c in range(1500):
+        truth[c] = f"t{c}"
+        bad = truth[c] if r.random() < 0.4 else f"w{c}-{r.randrange(9)}"
+        said = [(s, truth[c] if r.random() < good[s] else f"w{c}-{r.randrange(9)}") for s in r.sample(range(20), 5)]
+        said += [(s, bad) for s in range(20, 26) if r.random() < 0.8]
+        rows += [(c, s + 1, v, None, None, 1, 1) for s, v in said]
+    d = spark.createDataFrame([(i + 1, None) for i in range(26)], "id long, precision double")
+    got = {x.cluster: x.value for x in fused(spark.createDataFrame(rows, PAIRS), d).collect()}
+    votes = {c: Counter() for c in truth}
+    for c, _, v, *_ in rows:
+        votes[c][v] += 1
+    fusion = sum(got[c] == truth[c] for c in truth) / len(truth)
+    majority = sum(votes[c].most_common(1)[0][0] == truth[c] for c in truth) / len(truth)
+    print(fusion, majority)
+    assert fusion > 0.93 and majority < 0.75
 
 
 def test_odd_rows(spark):
