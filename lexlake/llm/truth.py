@@ -27,7 +27,7 @@ from lexlake.session import cut_lineage
 #: dependence, accuracy of a source that nobody audited, bounds of accuracies.
 WRONG, COPIED, PRIOR, UNKNOWN, BOUNDS = 10, 0.8, 0.1, 0.8, (0.05, 0.99)
 #: Estimation ends when no accuracy moves by more than SETTLED, or after ROUNDS.
-ROUNDS, SETTLED = 20, 0.002
+ROUNDS, SETTLED = 20, 0.005
 #: The driver holds numbers for each source and each two sources that speak of the same; more sources are refused.
 MAX_SOURCES = 5_000
 #: A group with more records than this is spread over SALTS tasks.
