@@ -87,7 +87,7 @@ QUERIES = {
 }
 
 _P = "p AS (SELECT DISTINCT ON (id) * FROM pair)"
-_CJK = "[㐀-䶿一-鿿豈-﫿]"
+_CJK = "[\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]"
 _KEYS = f"""{_P}, d AS (SELECT id, name, row_number() OVER (ORDER BY precision DESC NULLS LAST, id) AS priority FROM dictionary),
     k AS (SELECT p.id, p.dictionary_id, coalesce(d.priority, 2147483647) AS priority,
           trim(regexp_replace(lower(p.en), '[\\s\\p{{Z}}]+', ' ', 'g')) || chr(9) || regexp_replace(lower(p.zh), '[\\s\\p{{Z}}]+', '', 'g') AS e,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,14 +15,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Writes df to the cluster's checkpoint folder and reads it from there.
 
-    The folder is the one in spark.checkpoint.dir. Only where that is unset, in tests on one
-    machine, a folder of the machine is used.
+    The folder is the one in spark.checkpoint.dir. Where that is unset a local master, as in tests,
+    gets a folder of its own; a cluster is refused, as its executors share no folder of a machine.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        folder = sc.getConf().get("spark.checkpoint.dir") or os.path.join(
-            tempfile.gettempdir(), "lexlake-checkpoints"
-        )
+        folder = sc.getConf().get("spark.checkpoint.dir") or df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir is not set")
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
         sc.setCheckpointDir(folder)
     return df.checkpoint()

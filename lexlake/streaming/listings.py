@@ -13,7 +13,8 @@ def follow(spark: SparkSession, incoming: str, state: str, changes: str, checkpo
     appends what changed to changes. Runs until all files there are read; started again it goes on with new ones.
 
     A batch may hold several snapshots. Each is compared within the rows from the last snapshot
-    before the batch on, so the work of a batch follows its size, not that of all listings. A batch
+    before the batch on, so the work of a batch follows its size, not that of all listings. The numbers
+    of the records are kept beside state, so a record has one number in all batches. A batch
     that is run again after a failure replaces its own output.
     """
     schema = spark.read.parquet(incoming).schema
@@ -27,7 +28,7 @@ def follow(spark: SparkSession, incoming: str, state: str, changes: str, checkpo
         held = spark.read.option("basePath", state).parquet(state).where(F.col("batch") <= number).drop("batch")
         before = held.where(F.col("snapshot_no") < first).agg(F.max("snapshot_no")).first()[0]
         rows = held.where(F.col("snapshot_no") >= (first if before is None else before))
-        record_changes(rows.select(*new.columns)).write.mode("overwrite").parquet(f"{changes}/batch={number}")
+        record_changes(rows.select(*new.columns), store=f"{state}-ordinals").write.mode("overwrite").parquet(f"{changes}/batch={number}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(incoming)
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

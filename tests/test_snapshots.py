@@ -64,3 +64,32 @@ def test_blocks_agree(spark, small):
     fields = {"name": F.col("name"), "size": F.col("size")}
     one, many = (changes(df, "snapshot_no", "id", "loaded_at", fields, n) for n in (10**9, 10))
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))
+
+
+def test_numbers_stay(spark, tmp_path):
+    """A key keeps its number when later snapshots, and rows that were late, arrive."""
+    from pyspark.sql import functions as F
+
+    fields, store = {"name": F.col("name")}, str(tmp_path / "ordinals")
+    early = [row(2, f"k{i}") for i in range(40)]
+    late = early + [row(1, f"k{i}") for i in range(30, 50)] + [row(3, f"k{i}") for i in range(20, 60)] + [row(3, None)]
+
+    def run(rows):
+        got = changes(spark.createDataFrame(rows, SCHEMA), "snapshot_no", "id", "loaded_at", fields, 10, store)
+        return sorted(map(tuple, got.collect()), key=repr)
+
+    assert run(early) == []
+    before = {(r.blocks, r.block, r.id): r.ord for r in spark.read.parquet(store).collect()}
+    assert run(late) == found(spark, late)
+    after = {(r.blocks, r.block, r.id): r.ord for r in spark.read.parquet(store).collect()}
+    assert len(before) == 40 and len(after) == 61 and before.items() <= after.items() and {k[0] for k in after} == {4}
+    assert len({(b, o) for (_, b, _), o in after.items()}) == 61
+    assert run(late) == found(spark, late) and spark.read.parquet(store).count() == 61
+
+
+def test_empty_store(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([], SCHEMA)
+    for _ in range(2):
+        assert changes(df, "snapshot_no", "id", "loaded_at", {"name": F.col("name")}, store=str(tmp_path / "o")).count() == 0
