@@ -4,17 +4,20 @@ Every printed form of an item, with all strings that arise from it by leaving ou
 characters, is a key of one dictionary that every task holds. A value is looked up under its own
 such strings, so only forms within the edit bound are ever compared; the candidates are ranked by
 weighted Damerau-Levenshtein distance, then by how often the item itself is printed. Values come
-out as they stand in the rows: no join, no shuffle, and a value that fills a third of all rows is
-looked up once for each task.
+out as they stand in the rows, and a value that fills a third of all rows is looked up once for each
+task. A reference list longer than BLOCK_ITEMS is taken in blocks, each a dictionary of its own; the
+best of all blocks counts.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import combinations
 
 import pyarrow as pa
@@ -25,15 +28,15 @@ MAX_EDITS = 2
 MISS = -1
 #: Forms are looked up by abbreviation from this many letters on.
 LEAST_PREFIX = 3
-#: The reference list is held by every task; a longer one is refused.
-MAX_ITEMS = 100_000
-# Words that only weaken a label.
+#: Items whose dictionary a task holds at a time.
+BLOCK_ITEMS = 10_000
+#: Words that only weaken a label; another list is a parameter.
 HEDGES = (
     "somewhat", "chiefly", "mainly", "mostly", "often", "usually", "especially", "esp", "now", "rather", "sometimes",
     "generally", "frequently", "occasionally", "partly", "largely", "slightly", "quite", "fairly", "typically",
     "commonly", "primarily", "mildly", "vaguely", "perhaps", "possibly", "also", "very", "a bit", "in part",
 )
-# Keys next to each other on a keyboard.
+#: Keys next to each other on a keyboard.
 ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
 _NEAR = {frozenset((r[i], r[i + 1])) for r in ROWS for i in range(len(r) - 1)} | {
     frozenset((a, b)) for up, low in zip(ROWS, ROWS[1:]) for i, b in enumerate(low) for a in up[i : i + 2]
@@ -93,6 +96,11 @@ def distance(a: str, b: str) -> tuple[int, float]:
     return rows[-1][-1]
 
 
+#: How well an item fits, the smaller the better: (kind of finding, weight, frequency with a minus, item).
+Rank = tuple[int, float, int, int]
+NEAR, SHORT, SHORT_ALIAS, FAR, NONE = range(5)
+
+
 @dataclass
 class Dictionary:
     """The symmetric-delete dictionary of one set of items."""
@@ -101,7 +109,9 @@ class Dictionary:
     deletes: dict[str, set[tuple[str, int]]] = field(default_factory=dict)
     forms: list[tuple[str, int, bool]] = field(default_factory=list)
     frequency: dict[int, int] = field(default_factory=dict)
-    known: dict[str, int] = field(default_factory=dict)
+    hedges: tuple[str, ...] = HEDGES
+    known: dict[str, Rank] = field(default_factory=dict)
+    _sorted: list[tuple[str, int, bool]] | None = None
 
     def add(self, item: int, form: str, main: bool) -> None:
         key = compact(folded(form))
@@ -112,13 +122,13 @@ class Dictionary:
         for d in deletions(key, allowed(len(key) + 1)):
             self.deletes.setdefault(d, set()).add((key, item))
 
-    def _often(self, items: set[int]) -> int:
-        return min(items, key=lambda i: (-self.frequency.get(i, 0), i))
+    def _often(self, items: set[int]) -> tuple[int, int]:
+        return min((-self.frequency.get(i, 0), i) for i in items)
 
-    def _near(self, key: str) -> tuple[float, int] | None:
-        """(weight, item) of the best form within the edit bound."""
+    def _near(self, key: str) -> Rank | None:
+        """The best form within the edit bound."""
         if key in self.exact:
-            return 0.0, self._often(self.exact[key])
+            return NEAR, 0.0, *self._often(self.exact[key])
         seen: set[tuple[str, int]] = set()
         for d in deletions(key, allowed(len(key) + 1)):
             seen |= self.deletes.get(d, set())
@@ -129,22 +139,25 @@ class Dictionary:
                 ranked.append((edits, weight, -self.frequency.get(item, 0), item))
         if not ranked:
             return None
-        edits, weight, _, item = min(ranked)
-        return edits + weight / 100, item
+        edits, weight, often, item = min(ranked)
+        return NEAR if edits < 1 else FAR, edits + weight / 100, often, item
 
-    def _short(self, text: str) -> int | None:
+    def _short(self, text: str) -> Rank | None:
         """The item of which text, with its full stop, is an abbreviation."""
         key = compact(text)
         if not text.endswith(".") or len(key) < LEAST_PREFIX:
             return None
-        for main in (True, False):
-            items = {item for form, item, m in self.forms if m == main and len(form) > len(key) and form.startswith(key)}
-            if items:
-                return self._often(items)
+        if self._sorted is None:
+            self._sorted = sorted(set(self.forms))
+        a, b = bisect_left(self._sorted, (key,)), bisect_left(self._sorted, (key + chr(0x10FFFF),))
+        own = [(form, item, main) for form, item, main in self._sorted[a:b] if len(form) > len(key)]
+        for kind, main in ((SHORT, True), (SHORT_ALIAS, False)):
+            if items := {item for _, item, m in own if m == main}:
+                return kind, 0.0, *self._often(items)
         return None
 
-    def find(self, value: str) -> int:
-        """The item that value means, or MISS."""
+    def find(self, value: str) -> Rank:
+        """The item that value means, with how well it fits; MISS if it means none."""
         hit = self.known.get(value)
         if hit is None:
             if len(self.known) > 200_000:
@@ -152,43 +165,40 @@ class Dictionary:
             hit = self.known[value] = self._find(value)
         return hit
 
-    def _find(self, value: str) -> int:
+    def _find(self, value: str) -> Rank:
         text = folded(value).strip(" ()[]<>{}\"'“”‘’«»,:;、，：；")
         tries = [text]
         bare = text
         while True:  # several weakening words may stand before a label
-            word = next((h for h in HEDGES if bare.startswith(h) and re.match(r"[\s.]+\S", bare[len(h) :])), None)
+            word = next((h for h in self.hedges if bare.startswith(h) and re.match(r"[\s.]+\S", bare[len(h) :])), None)
             if word is None:
                 break
             bare = bare[len(word) :].lstrip(" .").strip(" ()[]<>,:;")
             tries.append(bare)
-        best: tuple[float, int] | None = None
-        for t in tries:
-            key = compact(t)
-            if key and (near := self._near(key)) and (best is None or near < best):
-                best = near
-        if best is not None and best[0] < 1:
-            return best[1]
-        for t in tries:
-            if (item := self._short(t)) is not None:
-                return item
-        return MISS if best is None else best[1]
-
-
-def reference(items: DataFrame) -> list[tuple[int, str, str, list[str]]]:
-    """The reference list on the driver; it must be as small as a list that people keep."""
-    rows = items.select("item_id", "axis", "value", "aliases").limit(MAX_ITEMS + 1).collect()
-    if len(rows) > MAX_ITEMS:
-        raise ValueError(f"the reference list has more than {MAX_ITEMS} items")
-    return [(r.item_id, r.axis or "", r.value or "", [a for a in r.aliases or [] if a]) for r in rows if r.item_id is not None]
-
-
-def dictionaries(items: list[tuple[int, str, str, list[str]]], frequency: Counter[int]) -> dict[str, Dictionary]:
+        found = [near for t in tries if (key := compact(t)) and (near := self._near(key))]
+        short = next((hit for t in tries if (hit := self._short(t))), None)
+        near = min(found, key=lambda r: r[1:], default=None)
+        return min((r for r in (near, short) if r), default=(NONE, 0.0, 0, MISS))
+
+
+def reference(items: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[list[tuple[int, str, str, list[str]]]]:
+    """The reference list in blocks of size items."""
+    block: list[tuple[int, str, str, list[str]]] = []
+    for r in items.select("item_id", "axis", "value", "aliases").where("item_id is not null").toLocalIterator():
+        block.append((r.item_id, r.axis or "", r.value or "", [a for a in r.aliases or [] if a]))
+        if len(block) == size:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+def dictionaries(items: list[tuple[int, str, str, list[str]]], frequency: Counter[int], hedges: tuple[str, ...] = HEDGES) -> dict[str, Dictionary]:
     """A dictionary for each axis, and one ("*") for all axes but pos."""
-    out: dict[str, Dictionary] = {"*": Dictionary(frequency=frequency), "pos": Dictionary(frequency=frequency)}
+    out: dict[str, Dictionary] = {"*": Dictionary(frequency=frequency, hedges=hedges), "pos": Dictionary(frequency=frequency, hedges=hedges)}
     for item, axis, value, aliases in items:
         for name in {axis, "*"} if axis != "pos" else {"pos"}:
-            d = out.setdefault(name, Dictionary(frequency=frequency))
+            d = out.setdefault(name, Dictionary(frequency=frequency, hedges=hedges))
             d.add(item, value, True)
             for a in aliases:
                 d.add(item, a, False)
@@ -206,27 +216,35 @@ def typed_values(s_sense: DataFrame, label: DataFrame) -> DataFrame:
     )
 
 
-def mapped(values: DataFrame, items: DataFrame) -> DataFrame:
+def mapped(values: DataFrame, items: DataFrame, hedges: tuple[str, ...] = HEDGES, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(field, id, ord, item_id) of rows (field, id, ord, scope, value); MISS where none is meant.
 
     Values that are an item's own value character for character are left out: nothing is to be
     mapped there. They give the reference frequencies, counted over all rows. A value delivered
     again counts once; should its deliveries differ, the largest item counts. White space or
-    punctuation alone, and values of an axis that the list doesn't have, are misses.
+    punctuation alone, and values of an axis that the list doesn't have, are misses. hedges are
+    the words that only weaken a label.
     """
-    listed = reference(items)
-    own = {v: i for i, _, v, _ in listed}
-    names = sorted(own)
-    counts = values.where(F.col("value").isin(names)).groupBy("value").count().collect() if names else []
-    frequency = Counter({own[r["value"]]: r["count"] for r in counts})
-    found = dictionaries(listed, frequency)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = Dictionary()
-        for b in batches:
-            scopes, texts = b.column("scope").to_pylist(), b.column("value").to_pylist()
-            hit = pa.array([found.get(s, none).find(v) for s, v in zip(scopes, texts)], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("field"), b.column("id"), b.column("ord"), hit], names=["field", "id", "ord", "item_id"])
-
-    typed = values.where(~F.col("value").isin(names)) if names else values
-    return typed.mapInArrow(run, "field string, id long, ord long, item_id long").groupBy("field", "id", "ord").agg(F.max("item_id").alias("item_id"))
+    own = items.where("item_id is not null and value is not null").groupBy("value").agg(F.max("item_id").alias("item"))
+    counts = values.groupBy("value").count().join(own, "value").groupBy("item").agg(F.sum("count").alias("n")).collect()  # one row for each item at most
+    frequency = Counter({r["item"]: r["n"] for r in counts})
+    typed = values.join(own.select("value"), "value", "left_anti").select("field", "id", "ord", "scope", "value")
+
+    def against(block: list[tuple[int, str, str, list[str]]]) -> DataFrame:
+        found = dictionaries(block, frequency, hedges)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            none = Dictionary()
+            for b in batches:
+                scopes, texts = b.column("scope").to_pylist(), b.column("value").to_pylist()
+                kind, weight, often, item = zip(*(found.get(s, none).find(v) for s, v in zip(scopes, texts))) if texts else ((),) * 4
+                rank = pa.StructArray.from_arrays([pa.array(kind, pa.int32()), pa.array(weight, pa.float64()), pa.array(often, pa.int64()), pa.array(item, pa.int64())], names=["kind", "weight", "often", "item"])
+                yield pa.RecordBatch.from_arrays([b.column("field"), b.column("id"), b.column("ord"), b.column("value"), rank], names=["field", "id", "ord", "value", "rank"])
+
+        return typed.mapInArrow(run, "field string, id long, ord long, value string, rank struct<kind: int, weight: double, often: long, item: long>")
+
+    blocks = list(map(against, reference(items, block_items))) or [against([])]
+    rows = blocks[0]
+    if len(blocks) > 1:
+        rows = reduce(DataFrame.unionAll, blocks).groupBy("field", "id", "ord", "value").agg(F.min("rank").alias("rank"))
+    return rows.groupBy("field", "id", "ord").agg(F.max("rank.item").alias("item_id"))

@@ -9,7 +9,7 @@ ITEMS = [(1, "register", "informal", ["familiar style", "colloquial"]), (2, "reg
 
 def find(value, scope="*", frequency=None):
     d = dictionaries(ITEMS, frequency or Counter())
-    return d[scope].find(value)
+    return d[scope].find(value)[3]
 
 
 @pytest.mark.parametrize(
@@ -63,4 +63,17 @@ def test_rows(spark):
     assert got == sorted([("s_sense.labels", 1, 3, 2), ("s_sense.labels", 1, 4, MISS), ("s_sense.pos", 1, 0, 4), ("s_sense.pos", 4, 0, MISS), ("label.value", 9, 0, 3), ("label.value", 10, 0, MISS), ("label.value", 11, 0, MISS)])
     assert mapped(typed_values(s.limit(0), label.limit(0)), items).count() == 0
     assert {r[3] for r in mapped(typed_values(s, label), items.limit(0)).collect()} == {MISS}
-    assert len(reference(items)) == 6
+    assert [len(b) for b in reference(items, 4)] == [4, 2] and list(reference(items.limit(0))) == []
+
+
+def test_blocks_and_other_weakening_words(spark):
+    """A list in blocks gives what the whole list gives; the weakening words are a parameter."""
+    items = spark.createDataFrame(ITEMS, "item_id long, axis string, value string, aliases array<string>")
+    values = ["infromal", "archi.", "archa.", "nformal", "(colloquial)", "xx", "familiars tyle", "almost formal", "informal", "foraml", "n", "名词,"] * 3
+    s = spark.createDataFrame([(i, v, [v], 5) for i, v in enumerate(values)], "id long, pos string, labels array<string>, ord int")
+    label = spark.createDataFrame([], "id long, axis string, value string")
+    one, many = (sorted(map(tuple, mapped(typed_values(s, label), items, block_items=n).collect())) for n in (100, 1))
+    assert one == many
+    assert dict((r[1], r[3]) for r in one if r[0] == "s_sense.labels")[7] == MISS
+    got = mapped(typed_values(s, label), items, hedges=("almost",)).where("field = 's_sense.labels' and id = 7").first()
+    assert got.item_id == 2
