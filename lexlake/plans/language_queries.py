@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexlake.functions.closed import ARTICLES
 from lexlake.operators import choice, folders, irregulars, phrases, simplified
 from lexlake.plans.catalog_queries import _L, _latest
 from lexlake.plans.dictionary_queries import _S, _senses
@@ -61,17 +62,15 @@ _MAP = """p AS (SELECT DISTINCT ON (id) * FROM pair), c AS (SELECT zh AS a, zh_h
     x AS (SELECT a[i] AS p, b[i] AS q FROM (SELECT a, b, unnest(generate_series(1, length(a))) AS i FROM c)),
     v AS (SELECT p, q, count(*) AS n FROM x WHERE regexp_full_match(p, '[㐀-䶿一-鿿]') AND regexp_full_match(q, '[㐀-䶿一-鿿]') GROUP BY 1, 2),
     m AS (SELECT p AS char, arg_min(q, {'a': -n, 'b': q}) AS "to", max(n) AS n FROM v GROUP BY p)"""
-_NOUN = f"""(CASE WHEN w[1] IN ('the', 'a', 'an') THEN w[2:] ELSE w END)"""
 SQL = {
     "simplification_map": f"""WITH {_MAP} SELECT * FROM m WHERE char <> "to" AND n >= 2""",
     "phrase_kinds": f"""WITH {_S}, r AS (SELECT lower(phrase) AS phrase, phrase AS printed, kind, lower(coalesce(pos, '')) AS pos FROM s WHERE phrase <> ''),
-        x AS (SELECT *, list_filter(regexp_extract_all(printed, '\\p{{L}}[\\p{{L}}\\p{{N}}_''-]*'), lambda z: lower(z) NOT IN {phrases.SMALL_IN_NAMES}) AS n FROM r),
-        g AS (SELECT phrase, bool_or(kind = 'phrasal_verb' OR contains(pos, 'phrasal')) AS verb, bool_and(len(n) > 0 AND len(list_filter(n, lambda z: NOT regexp_matches(z, '^\\p{{Lu}}'))) = 0) AS name,
-              bool_or(regexp_matches(pos, '{phrases.FORMULA}') OR regexp_matches(rtrim(printed), '[?!]$')) AS formula, bool_and(pos IN ('noun', 'n', 'n.')) AS nouns, string_split(phrase, ' ') AS w FROM x GROUP BY phrase),
-        h AS (SELECT *, {_NOUN} AS b FROM g)
-        SELECT phrase, CASE WHEN verb THEN 'phrasal_verb' WHEN name THEN 'name' WHEN formula THEN 'formula'
-            WHEN nouns AND len(b) > 0 AND len(list_filter(b, lambda z: z[1] = '{{' OR z IN {tuple(phrases.NOT_IN_COMPOUNDS)})) = 0 AND b[1] NOT IN ('of', 'and') AND b[-1] NOT IN ('of', 'and')
-                 AND len(list_filter(generate_series(2, len(b)), lambda i: b[i] IN ('the', 'a', 'an') AND b[i - 1] <> 'of')) = 0 THEN 'compound' ELSE 'idiom' END AS kind FROM h""",
+        x AS (SELECT *, list_filter(regexp_extract_all(printed, '\\p{{L}}[\\p{{L}}\\p{{N}}_''-]*'), lambda z: lower(z) NOT IN {phrases.SMALL_IN_NAMES}) AS big FROM r),
+        g AS (SELECT phrase, bool_or(kind = 'phrasal_verb' OR pos LIKE '%phrasal%') AS verb, bool_and(len(big) > 0 AND len(list_filter(big, lambda z: NOT regexp_matches(z, '^\\p{{Lu}}'))) = 0) AS name,
+              bool_or(regexp_matches(pos, '{"|".join(phrases.FORMULA)}') OR regexp_matches(printed, '[?!]\\s*$')) AS formula, bool_and(pos IN ('noun', 'n', 'n.')) AS nouns,
+              list_aggregate(list_transform(string_split(phrase, ' '), lambda t: CASE WHEN t IN {ARTICLES} THEN 'a' WHEN t = 'of' THEN 'o' WHEN t = 'and' THEN 'c' WHEN t LIKE '{{%' OR t IN {phrases.CLOSED} THEN 'x' ELSE 'n' END), 'string_agg', '') AS shape
+              FROM x GROUP BY phrase)
+        SELECT phrase, CASE WHEN verb THEN 'phrasal_verb' WHEN name THEN 'name' WHEN formula THEN 'formula' WHEN nouns AND regexp_matches(shape, '{phrases.NOUN_PHRASE}') THEN 'compound' ELSE 'idiom' END AS kind FROM g""",
     "chosen_sources": """SELECT * FROM (VALUES ('a', true, 'en-zh', 'text', ''), ('b', false, 'en-zh', 'text', 'mostly another language'), ('c', true, 'zh-en', 'text', ''), ('d', false, 'en-zh', 'text', 'not clearly translations'),
         ('e', false, 'en-zh', 'text', 'unreadable'), ('f', true, 'en-zh', 'styled', 'not clearly translations'), ('g', false, 'en-zh', 'text', 'too few scored pairs')) t(id, keep, reading, extractor, reason)""",
     "judged_forms": """SELECT * FROM (VALUES ('take', 'verb', 'Past', 'took', 3, 'irregular'), ('sing', 'verb', 'Past', 'sang', 1, 'thin'), ('forget', 'verb', 'PresPart', 'forgeting', 1, 'regular'), ('walk', 'verb', 'Past', 'walked', 1, 'regular'),
