@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from lexlake.operators.search import containing
 from pyspark.sql.window import Window
 
 from lexlake.functions.text import strip_ext
@@ -118,27 +120,37 @@ def facet_counts(records: DataFrame, chosen: dict[str, str]) -> DataFrame:
     return records.select(F.explode(values).alias("v")).groupBy("v.facet", "v.value").agg(F.count("*").alias("n"))
 
 
+def _bare(c: Column) -> Column:
+    return F.regexp_replace(c, r"[^\p{L}\p{N}]+", "")
+
+
 def search(records: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, id, score): records in which every word of a query scores; a long name costs a little.
 
-    records is (id, name, tags, paths), queries (query_id, query). The queries are few; they are
-    held against all records.
+    records is (id, name, tags, paths), queries (query_id, query). A word scores only where a text of
+    the record contains it, so the words meet the different texts through n-grams, and of each query
+    only the records of its rarest word are scored.
     """
     terms = queries.select("query_id", F.posexplode(F.filter(F.split(F.lower("query"), r"\s+"), lambda t: t != "")).alias("at", "term"))
-    wanted = queries.select("query_id", F.size(F.filter(F.split(F.lower("query"), r"\s+"), lambda t: t != "")).alias("n_terms"))
     name, term = F.lower("name"), F.col("term")
-    bare = F.regexp_replace(term, r"[^\p{L}\p{N}]+", "")
+    texts = records.select("id", F.explode(F.array_distinct(F.array_compact(F.concat(F.array(name, _bare(name), F.lower("paths")), F.coalesce("tags", F.array()))))).alias("text"))
+    parts = terms.select("term", F.explode(F.array_distinct(F.array(term, _bare(term)))).alias("part")).where("part <> ''").distinct()
+    met = containing(texts.select(F.col("text").alias("term")), parts.select(F.col("part").alias("query"))).select(F.col("query").alias("part"), F.col("term").alias("text"))
+    held = parts.join(met, "part").join(texts, "text").select("term", "id").distinct()
+    df = held.groupBy("term").agg(F.count("*").alias("df"))
+    rarest = terms.join(df, "term", "left").groupBy("query_id").agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term"))["term"].alias("term"))
+    near = rarest.join(held, "term").select("query_id", "id")
     points = dict(SCORES)
-    at_boundary = F.exists(F.split(name, r"[^\p{L}\p{N}]+"), lambda w: w.startswith(term))
     score = (
         F.when(name.startswith(term), points["prefix"])
-        .when(at_boundary, points["boundary"])
+        .when(F.exists(F.split(name, r"[^\p{L}\p{N}]+"), lambda w: w.startswith(term)), points["boundary"])
         .when(name.contains(term), points["inside"])
-        .when((bare != "") & F.regexp_replace(name, r"[^\p{L}\p{N}]+", "").contains(bare), points["compact"])
+        .when((_bare(term) != "") & _bare(name).contains(_bare(term)), points["compact"])
         .when(F.exists("tags", lambda t: t.contains(term)), points["tag"])
         .when(F.lower("paths").contains(term), points["path"])
         .otherwise(0)
     )
-    hits = records.join(F.broadcast(terms), score > 0).select("query_id", "at", "id", "name", score.alias("s"))
+    hits = near.join(terms, "query_id").join(records, "id").select("query_id", "at", "id", "name", score.alias("s")).where("s > 0")
     g = hits.groupBy("query_id", "id").agg(F.count("*").alias("n"), F.sum("s").alias("s"), F.max(F.length("name")).alias("len"))
-    return g.join(F.broadcast(wanted), "query_id").where("n = n_terms").select("query_id", "id", F.round(F.col("s") - F.col("len") / 10000, 4).alias("score"))
+    wanted = terms.groupBy("query_id").agg(F.count("*").alias("n_terms"))
+    return g.join(wanted, "query_id").where("n = n_terms").select("query_id", "id", F.round(F.col("s") - F.col("len") / 10000, 4).alias("score"))

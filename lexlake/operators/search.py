@@ -79,14 +79,18 @@ def word_index(docs: DataFrame, doc_id: str, body: str, stemmed: bool = True) ->
 def define(index: DataFrame, docs: DataFrame, queries: DataFrame, k: int = DEFINED) -> DataFrame:
     """(query_id, doc_id, score, rank): texts that hold all words of a query, best by BM25.
 
-    queries is (query_id, term), one row for each different word. The number of texts and their mean
-    length are one row; the frequency of a word is counted for the words asked for.
+    queries is (query_id, term). Only the texts that hold a query's rarest word meet its other words.
+    The number of texts and their mean length are one row; the frequency of a word is counted for
+    the words asked for.
     """
     size = docs.agg(F.count("*").alias("n_docs"), F.avg("length").alias("mean"))  # one row
-    wanted = queries.groupBy("query_id").agg(F.count_distinct("term").alias("wanted"))
-    hits = index.join(queries.distinct(), "term")
-    df = index.join(queries.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
-    hits = hits.join(df, "term").crossJoin(F.broadcast(size))
+    asked = queries.select("query_id", "term").distinct()
+    wanted = asked.groupBy("query_id").agg(F.count("*").alias("wanted"))
+    df = index.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+    terms = asked.join(df, "term")  # a word that stands nowhere leaves its query without an answer
+    rarest = terms.groupBy("query_id").agg(F.min(F.struct("df", "term"))["term"].alias("term"))
+    texts = rarest.join(index, "term").select("query_id", "doc_id")
+    hits = texts.join(terms, "query_id").join(index, ["doc_id", "term"]).crossJoin(F.broadcast(size))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
     scored = hits.groupBy("query_id", "doc_id").agg(F.count("*").alias("n"), F.round(F.sum(part), 6).alias("score")).join(wanted, "query_id").where("n = wanted")

@@ -64,8 +64,9 @@ def facet_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def catalog_search(spark: SparkSession, sf: str) -> DataFrame:
+    """For the records whose id, a hexadecimal number, ends in 00 those that match the beginning and the last word of the name."""
     r = _latest(spark, sf).select("id", "name", catalog.tags(F.col("name")).alias("tags"), F.array_join(F.transform("locations", lambda x: x["folder"]), " ").alias("paths"))
-    q = spark.sql("SELECT * FROM VALUES (1, 'english dictionary'), (2, 'thesaur'), (3, '英汉'), (4, 'archive idioms') AS t(query_id, query)")
+    q = r.where("id like '%00'").select(F.col("id").alias("query_id"), F.concat_ws(" ", F.substring(F.lower("name"), 1, 5), F.substring_index(F.lower("name"), " ", -1)).alias("query"))
     return catalog.search(r, q)
 
 
@@ -123,11 +124,11 @@ SQL = {
         UNION ALL SELECT 'kind', coalesce(kind, ''), count(*) FROM x GROUP BY 2
         UNION ALL SELECT 'tag', t, count(*) FROM (SELECT unnest(tags) AS t FROM x WHERE kind = 'mdx') GROUP BY 2""",
     "catalog_search": f"""WITH {_L}, x AS (SELECT id, lower(name) AS name, {_TAGS} AS tags, lower(array_to_string(list_transform(locations, lambda l: l.folder), ' ')) AS paths FROM r),
-        q AS (SELECT * FROM (VALUES (1, 'english'), (1, 'dictionary'), (2, 'thesaur'), (3, '英汉'), (4, 'archive'), (4, 'idioms')) t(query_id, term)),
+        q AS (SELECT query_id, unnest(list_filter(regexp_split_to_array(name[1:5] || ' ' || regexp_extract(name, '[^ ]*$'), '\\s+'), lambda t: t <> '')) AS term FROM (SELECT id AS query_id, name FROM x WHERE id LIKE '%00')),
         w AS (SELECT query_id, count(*) AS wanted FROM q GROUP BY 1),
         s AS (SELECT query_id, id, name, CASE WHEN starts_with(name, term) THEN 40
                 WHEN len(list_filter(regexp_split_to_array(name, '[^\\p{{L}}\\p{{N}}]+'), lambda v: starts_with(v, term))) > 0 THEN 30
-                WHEN contains(name, term) THEN 20 WHEN contains(regexp_replace(name, '[^\\p{{L}}\\p{{N}}]+', '', 'g'), term) THEN 15
+                WHEN contains(name, term) THEN 20 WHEN regexp_matches(term, '[\\p{{L}}\\p{{N}}]') AND contains(regexp_replace(name, '[^\\p{{L}}\\p{{N}}]+', '', 'g'), regexp_replace(term, '[^\\p{{L}}\\p{{N}}]+', '', 'g')) THEN 15
                 WHEN len(list_filter(tags, lambda t: contains(t, term))) > 0 THEN 10 WHEN contains(paths, term) THEN 3 ELSE 0 END AS s FROM x CROSS JOIN q)
         SELECT query_id, id, round(sum(s) - max(length(name)) / 10000, 4) AS score FROM s JOIN w USING (query_id) WHERE s > 0 GROUP BY query_id, id, wanted HAVING count(*) = wanted""",
     "catalog_meta": f"WITH {_L} SELECT lang, kind, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes FROM r GROUP BY GROUPING SETS ((lang), (kind), ())",

@@ -89,11 +89,12 @@ def gloss_bigrams(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zh_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """English headwords for Chinese terms: exact terms first, then terms that contain the query."""
-    queries = spark.sql("SELECT * FROM VALUES (1, '做工精良的'), (2, '在阅览室里'), (3, '水壶') AS t(query_id, query)")
+    """English headwords for the first characters of every hundredth sense's gloss: exact terms first, then terms that contain them."""
+    terms = zh_terms(spark, sf)
+    queries = terms.where("sense_id % 100 = 0").groupBy(F.col("sense_id").alias("query_id")).agg(F.substring(F.min("term"), 1, 4).alias("query"))
     senses = _senses(spark, sf)
     e = _entries(spark, sf).select(F.col("id").alias("entry_id"), "headword")
-    return lookup.by_gloss(queries, zh_terms(spark, sf), senses.select(F.col("id").alias("sense_id"), "entry_id", "dict_id"), e)
+    return lookup.by_gloss(queries, terms, senses.select(F.col("id").alias("sense_id"), "entry_id", "dict_id"), e)
 
 
 def redirect_closure(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,7 +180,7 @@ SQL = {
             SELECT word, run[i : i + 1] AS gram, min({{'a': entry_id, 'b': ord, 'c': id, 'd': r, 'e': i}}) AS o FROM g GROUP BY 1, 2
         )
         SELECT word, gram, CAST(row_number() OVER (PARTITION BY word ORDER BY o, gram) AS INTEGER) AS n FROM o QUALIFY n <= 60""",
-    "zh_lookup": f"""WITH {_E}, {_S}, {_TERMS}, q AS (SELECT * FROM (VALUES (1, '做工精良的'), (2, '在阅览室里'), (3, '水壶')) t(query_id, query)),
+    "zh_lookup": f"""WITH {_E}, {_S}, {_TERMS}, q AS (SELECT sense_id AS query_id, min(term)[1:4] AS query FROM t WHERE sense_id % 100 = 0 GROUP BY 1),
         h AS (SELECT q.query_id, t.sense_id, t.term, t.term = q.query AS exact FROM q JOIN t ON contains(t.term, q.query)),
         b AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY NOT exact, length(term), term, sense_id) AS n FROM h QUALIFY n <= 5000),
         g AS (SELECT b.query_id, lower(e.headword) AS word, count(DISTINCT s.dict_id) FILTER (b.exact) AS exact, count(DISTINCT s.dict_id) AS dictionaries

@@ -41,23 +41,29 @@ def suggestions(spark: SparkSession, sf: str) -> DataFrame:
     return search.similar(search.gram_index(words, "word"), q).unionByName(short)
 
 
+def _asked(spark: SparkSession, sf: str) -> DataFrame:
+    """The senses whose id is divisible by 100."""
+    return _senses(spark, sf).where("id % 100 = 0")
+
+
 def contains_terms(spark: SparkSession, sf: str) -> DataFrame:
-    q = spark.sql("SELECT * FROM VALUES ('做工精良'), ('阅览'), ('笔记本') AS t(query)")
+    """For three characters, and for two, of the glosses of every hundredth sense the terms that contain them."""
+    own = zh_terms(spark, sf).where("sense_id % 100 = 0")
+    q = own.select(F.explode(F.array(F.substring("term", 2, 3), F.substring("term", 1, 2))).alias("query")).where("query <> ''").distinct()
     return search.containing(zh_terms(spark, sf).select("term"), q)
 
 
 def define_words(spark: SparkSession, sf: str) -> DataFrame:
-    """Definitions with all words of a query, by BM25 over words as they stand."""
-    q = spark.sql("SELECT * FROM VALUES (1, 'reading'), (1, 'room'), (2, 'carry'), (2, 'kitchen'), (3, 'well'), (3, 'made'), (3, 'market') AS t(query_id, term)")
-    docs = _senses(spark, sf)
-    index = search.word_index(docs, "id", "definition", stemmed=False)
+    """Definitions with the first two long words of every hundredth definition, by BM25 over words as they stand."""
+    words = F.slice(F.regexp_extract_all(F.lower("definition"), F.lit("([a-z0-9]{5,})"), 1), 1, 2)
+    q = _asked(spark, sf).select(F.col("id").alias("query_id"), F.explode(words).alias("term")).distinct()
+    index = search.word_index(_senses(spark, sf), "id", "definition", stemmed=False)
     return search.define(index, index.select("doc_id", "length").distinct(), q)
 
 
 def define_stems(spark: SparkSession, sf: str) -> DataFrame:
-    """The same over stems."""
-    q = spark.sql("SELECT * FROM VALUES (1, 'carrying readings'), (2, 'rooms'), (3, 'marketing') AS t(query_id, query)")
-    q = q.select("query_id", F.explode(stem_list("query")).alias("term"))
+    """The same over the stems of the phrase of every hundredth sense that has one."""
+    q = _asked(spark, sf).where("phrase <> ''").select(F.col("id").alias("query_id"), F.explode(stem_list("phrase")).alias("term"))
     index = search.word_index(_senses(spark, sf), "id", "definition")
     return search.define(index, index.select("doc_id", "length").distinct(), q)
 
@@ -84,8 +90,9 @@ SQL = {
     "trigram_overlap": f"""WITH {_GRAMS}, q AS (SELECT DISTINCT lower(headword)[1:2] || lower(headword)[4:] AS query FROM entry WHERE id % 100 = 0),
         x AS (SELECT DISTINCT query, query[i : i + 2] AS gram FROM (SELECT query, unnest(generate_series(1, length(query) - 2)) AS i FROM q))
         SELECT query, word, count(*) AS shared FROM x JOIN g USING (gram) GROUP BY 1, 2 HAVING count(*) >= 3""",
-    "contains_terms": f"WITH {_S}, {_TERMS}, q AS (SELECT * FROM (VALUES ('做工精良'), ('阅览'), ('笔记本')) t(query)) SELECT DISTINCT query, term FROM t JOIN q ON contains(term, query)",
-    "define_words": f"""WITH {_INDEX}, q AS (SELECT * FROM (VALUES (1, 'reading'), (1, 'room'), (2, 'carry'), (2, 'kitchen'), (3, 'well'), (3, 'made'), (3, 'market')) t(query_id, term)),
+    "contains_terms": f"""WITH {_S}, {_TERMS}, q AS (SELECT DISTINCT query FROM (SELECT unnest([term[2:4], term[1:2]]) AS query FROM t WHERE sense_id % 100 = 0) WHERE query <> '')
+        SELECT DISTINCT query, term FROM t JOIN q ON contains(term, query)""",
+    "define_words": f"""WITH {_INDEX}, q AS (SELECT DISTINCT id AS query_id, unnest(regexp_extract_all(lower(definition), '[a-z0-9]{{5,}}')[1:2]) AS term FROM s WHERE id % 100 = 0),
         n AS (SELECT count(*) AS n_docs, avg(length) AS mean FROM (SELECT DISTINCT doc_id, length FROM i)), df AS (SELECT term, count(*) AS df FROM i GROUP BY term),
         k AS (SELECT query_id, count(*) AS wanted FROM q GROUP BY 1),
         h AS (SELECT query_id, doc_id, count(*) AS n, round(sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length / mean))), 6) AS score
