@@ -64,9 +64,9 @@ def facet_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def catalog_search(spark: SparkSession, sf: str) -> DataFrame:
-    """For the records whose id, a hexadecimal number, ends in 00 those that match the beginning and the last word of the name."""
+    """For the records whose id, a hexadecimal number, ends in 0 those that match the beginning and the last word of the name."""
     r = _latest(spark, sf).select("id", "name", catalog.tags(F.col("name")).alias("tags"), F.array_join(F.transform("locations", lambda x: x["folder"]), " ").alias("paths"))
-    q = r.where("id like '%00'").select(F.col("id").alias("query_id"), F.concat_ws(" ", F.substring(F.lower("name"), 1, 5), F.substring_index(F.lower("name"), " ", -1)).alias("query"))
+    q = r.where("id like '%0'").select(F.col("id").alias("query_id"), F.concat_ws(" ", F.substring(F.lower("name"), 1, 5), F.substring_index(F.lower("name"), " ", -1)).alias("query"))
     return catalog.search(r, q)
 
 
@@ -124,7 +124,7 @@ SQL = {
         UNION ALL SELECT 'kind', coalesce(kind, ''), count(*) FROM x GROUP BY 2
         UNION ALL SELECT 'tag', t, count(*) FROM (SELECT unnest(tags) AS t FROM x WHERE kind = 'mdx') GROUP BY 2""",
     "catalog_search": f"""WITH {_L}, x AS (SELECT id, lower(name) AS name, {_TAGS} AS tags, lower(array_to_string(list_transform(locations, lambda l: l.folder), ' ')) AS paths FROM r),
-        q AS (SELECT query_id, unnest(list_filter(regexp_split_to_array(name[1:5] || ' ' || regexp_extract(name, '[^ ]*$'), '\\s+'), lambda t: t <> '')) AS term FROM (SELECT id AS query_id, name FROM x WHERE id LIKE '%00')),
+        q AS (SELECT query_id, unnest(list_filter(regexp_split_to_array(name[1:5] || ' ' || regexp_extract(name, '[^ ]*$'), '\\s+'), lambda t: t <> '')) AS term FROM (SELECT id AS query_id, name FROM x WHERE id LIKE '%0')),
         w AS (SELECT query_id, count(*) AS wanted FROM q GROUP BY 1),
         s AS (SELECT query_id, id, name, CASE WHEN starts_with(name, term) THEN 40
                 WHEN len(list_filter(regexp_split_to_array(name, '[^\\p{{L}}\\p{{N}}]+'), lambda v: starts_with(v, term))) > 0 THEN 30

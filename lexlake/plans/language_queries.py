@@ -5,17 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexlake.functions import inflect
 from lexlake.functions.closed import ARTICLES
 from lexlake.operators import choice, folders, irregulars, phrases, simplified
+from lexlake.operators.corpus import CJK
 from lexlake.plans.catalog_queries import _L, _latest
 from lexlake.plans.dictionary_queries import _S, _senses
 from lexlake.session import table
 
-PROBES = "('a', 'ok', 50, 2, 0.7, 40, 0.2, 40), ('b', 'ok', 5, 60, 0.7, 40, 0.1, 9), ('c', 'ok', 50, 0, 0.9, 3, 0.5, 30), ('d', 'ok', 50, 0, 0.35, 20, 0.34, 30), ('e', 'unreadable', 0, 0, NULL, NULL, NULL, NULL), ('f', 'ok', 9, 0, 0.1, 9, NULL, NULL), ('g', 'ok', 9, 0, 0.5, 4, 0.4, 4)"
-FORMS = """('take', 'verb', 'Past', 'took', 'd1'), ('take', 'verb', 'Past', 'took', 'd2'), ('take', 'verb', 'Past', 'took', 'd3'), ('sing', 'verb', 'Past', 'sang', 'd1'), ('forget', 'verb', 'PresPart', 'forgeting', 'd1'), ('walk', 'verb', 'Past', 'walked', 'd1'),
-    ('man', 'noun', 'Plur', 'men', 'd1'), ('pita', 'noun', 'Plur', 'pitta', 'd1'), ('defog', 'verb', 'Past', 'demist', 'd1'), ('go', 'verb', 'Past', 'went', 'd1'), ('big', 'adjective', 'Cmp', 'bigger', 'd1'), ('teach', 'verb', 'Past', 'taught', 'd1'), ('sheep', 'noun', 'Plur', 'sheep', 'd2')"""
-
-
 def simplification_map(spark: SparkSession, sf: str) -> DataFrame:
     return simplified.learnt(table(spark, sf, "pair").dropDuplicates(["id"]), "zh", "zh_hans")
 
@@ -33,12 +30,27 @@ def phrase_kinds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chosen_sources(spark: SparkSession, sf: str) -> DataFrame:
-    probes = spark.sql(f"SELECT * FROM VALUES {PROBES} AS t(id, status, english, foreign, en_zh, n_en_zh, zh_en, n_zh_en)").withColumns({c: F.col(c).cast("double") for c in ("en_zh", "zh_en")})
-    return choice.choose(probes, spark.sql("SELECT * FROM VALUES ('f', 'styled'), ('e', 'styled') AS t(id, extractor)"))
+    """Which dictionaries to read pairs from, and in which order, by their records in either order; every tenth is read by style."""
+    p = table(spark, sf, "pair").dropDuplicates(["id"]).where("dictionary_id is not null and en is not null and zh is not null")
+    cjk = lambda c: F.regexp_count(c, F.lit(CJK))
+    words = lambda c: F.regexp_count(c, F.lit("[A-Za-z]+"))
+    rows = p.select(F.col("dictionary_id").alias("id"), (cjk("en") == 0).alias("straight"), F.col("en").rlike(r"[\x{00C0}-\x{024F}]").alias("accented"), words("en").alias("we"), cjk("zh").alias("cz"), words("zh").alias("wz"), cjk("en").alias("ce"))
+    fits = lambda c, w: F.when((F.col(w) > 0) & (F.col(c) >= F.col(w)), 1.0).otherwise(0.0)
+    probes = rows.groupBy("id").agg(
+        F.when(F.count("*") >= 5, "ok").otherwise("unreadable").alias("status"), F.count_if(~F.col("accented")).alias("english"), F.count_if("accented").alias("foreign"),
+        F.avg(F.when(F.col("straight"), fits("cz", "we"))).alias("en_zh"), F.count_if("straight").alias("n_en_zh"), F.avg(F.when(~F.col("straight"), fits("ce", "wz"))).alias("zh_en"), F.count_if(~F.col("straight")).alias("n_zh_en"),
+    )
+    return choice.choose(probes, table(spark, sf, "dictionary").where("id % 10 = 0").select("id", F.lit("styled").alias("extractor")))
 
 
 def judged_forms(spark: SparkSession, sf: str) -> DataFrame:
-    return irregulars.judged(spark.sql(f"SELECT * FROM VALUES {FORMS} AS t(lemma, pos, slot, form, dictionary)"))
+    """Forms of every noun and verb as dictionaries might list them: the regular ones, and by every third
+    dictionary one with a letter doubled, changed or added, each judged by itself."""
+    e = table(spark, sf, "entry").where("lower(headword) rlike '^[a-z]+$'").select("id", F.col("dict_id").alias("dictionary"), F.lower("headword").alias("lemma"))
+    s = _senses(spark, sf).where("pos in ('noun', 'verb')").select(F.col("entry_id").alias("id"), "pos").distinct()
+    regular = e.join(s, "id").select("dictionary", "lemma", "pos", F.explode(inflect.forms(F.col("lemma"), F.col("pos"))).alias("f")).select("dictionary", "lemma", "pos", "f.slot", "f.form")
+    odd = regular.where("dictionary % 3 = 0").withColumn("form", F.when(F.col("slot") == "Plur", F.concat("lemma", F.lit("en"))).when(F.col("dictionary") % 2 == 0, F.concat(F.expr("substr(form, 1, 1)"), "form")).otherwise(F.translate("lemma", "aeiou", "eioua")))
+    return irregulars.judged(regular.unionByName(odd)).groupBy("pos", "slot", "kind").agg(F.count("*").alias("forms"), F.sum("n").alias("n"))
 
 
 def folder_records(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,11 +83,15 @@ SQL = {
               list_aggregate(list_transform(string_split(phrase, ' '), lambda t: CASE WHEN t IN {ARTICLES} THEN 'a' WHEN t = 'of' THEN 'o' WHEN t = 'and' THEN 'c' WHEN t LIKE '{{%' OR t IN {phrases.CLOSED} THEN 'x' ELSE 'n' END), 'string_agg', '') AS shape
               FROM x GROUP BY phrase)
         SELECT phrase, CASE WHEN verb THEN 'phrasal_verb' WHEN name THEN 'name' WHEN formula THEN 'formula' WHEN nouns AND regexp_matches(shape, '{phrases.NOUN_PHRASE}') THEN 'compound' ELSE 'idiom' END AS kind FROM g""",
-    "chosen_sources": """SELECT * FROM (VALUES ('a', true, 'en-zh', 'text', ''), ('b', false, 'en-zh', 'text', 'mostly another language'), ('c', true, 'zh-en', 'text', ''), ('d', false, 'en-zh', 'text', 'not clearly translations'),
-        ('e', false, 'en-zh', 'text', 'unreadable'), ('f', true, 'en-zh', 'styled', 'not clearly translations'), ('g', false, 'en-zh', 'text', 'too few scored pairs')) t(id, keep, reading, extractor, reason)""",
-    "judged_forms": """SELECT * FROM (VALUES ('take', 'verb', 'Past', 'took', 3, 'irregular'), ('sing', 'verb', 'Past', 'sang', 1, 'thin'), ('forget', 'verb', 'PresPart', 'forgeting', 1, 'regular'), ('walk', 'verb', 'Past', 'walked', 1, 'regular'),
-        ('man', 'noun', 'Plur', 'men', 1, 'thin'), ('pita', 'noun', 'Plur', 'pitta', 1, 'doubtful'), ('defog', 'verb', 'Past', 'demist', 1, 'doubtful'), ('go', 'verb', 'Past', 'went', 1, 'thin'), ('big', 'adjective', 'Cmp', 'bigger', 1, 'regular'),
-        ('teach', 'verb', 'Past', 'taught', 1, 'thin'), ('sheep', 'noun', 'Plur', 'sheep', 1, 'thin')) t(lemma, pos, slot, form, n, kind)""",
+    "chosen_sources": f"""WITH x AS (SELECT dictionary_id AS id, len(regexp_extract_all(en, '{CJK}')) AS ce, len(regexp_extract_all(zh, '{CJK}')) AS cz, len(regexp_extract_all(en, '[A-Za-z]+')) AS we, len(regexp_extract_all(zh, '[A-Za-z]+')) AS wz,
+            regexp_matches(en, '[\\x{{00C0}}-\\x{{024F}}]') AS accented FROM (SELECT DISTINCT ON (id) * FROM pair) WHERE dictionary_id IS NOT NULL AND en IS NOT NULL AND zh IS NOT NULL),
+        p AS (SELECT id, CASE WHEN count(*) >= 5 THEN 'ok' ELSE 'unreadable' END AS status, count(*) FILTER (WHERE NOT accented) AS english, count(*) AS every, count(*) FILTER (WHERE ce = 0) AS n1, count(*) FILTER (WHERE ce > 0) AS n2,
+            coalesce(avg(CASE WHEN we > 0 AND cz >= we THEN 1.0 ELSE 0.0 END) FILTER (WHERE ce = 0), 0) AS m1, coalesce(avg(CASE WHEN wz > 0 AND ce >= wz THEN 1.0 ELSE 0.0 END) FILTER (WHERE ce > 0), 0) AS m2 FROM x GROUP BY id),
+        q AS (SELECT *, n1 >= 5 AND m1 - 0.5 / sqrt(greatest(n1, 1)) >= 0.3 AS ok1, n2 >= 5 AND m2 - 0.5 / sqrt(greatest(n2, 1)) >= 0.3 AS ok2, id % 10 = 0 AND EXISTS (SELECT 1 FROM dictionary d WHERE d.id = p.id) AS styled FROM p),
+        r AS (SELECT *, {{'a': ok1, 'b': m1, 'c': n1, 'd': 1}} >= {{'a': ok2, 'b': m2, 'c': n2, 'd': 0}} AS straight FROM q),
+        s AS (SELECT *, CASE WHEN status <> 'ok' THEN status WHEN english < 0.5 * every THEN 'mostly another language' WHEN CASE WHEN straight THEN n1 ELSE n2 END < 5 THEN 'too few scored pairs'
+            WHEN NOT CASE WHEN straight THEN ok1 ELSE ok2 END THEN 'not clearly translations' ELSE '' END AS reason FROM r)
+        SELECT id, reason = '' OR styled AND status = 'ok' AS keep, CASE WHEN straight THEN 'en-zh' ELSE 'zh-en' END AS reading, CASE WHEN styled AND status = 'ok' THEN 'styled' ELSE 'text' END AS extractor, reason FROM s""",
     "document_words": """WITH w AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents) GROUP BY 1, 2)
         SELECT doc_id, CAST(sum(n) AS BIGINT) AS words, CAST(sum(CASE WHEN word IN (SELECT lower(headword) FROM entry) THEN n ELSE 0 END) AS BIGINT) AS known,
                CAST(sum(CASE WHEN word IN (SELECT lower(word) FROM label) THEN n ELSE 0 END) AS BIGINT) AS labelled FROM w GROUP BY doc_id""",

@@ -62,8 +62,9 @@ def define_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def define_stems(spark: SparkSession, sf: str) -> DataFrame:
-    """The same over the stems of the phrase of every hundredth sense that has one."""
-    q = _asked(spark, sf).where("phrase <> ''").select(F.col("id").alias("query_id"), F.explode(stem_list("phrase")).alias("term"))
+    """The same over stems."""
+    words = F.array_join(F.slice(F.regexp_extract_all(F.lower("definition"), F.lit("([a-z]{5,})"), 1), 1, 2), " ")
+    q = _asked(spark, sf).select(F.col("id").alias("query_id"), words.alias("query")).select("query_id", F.explode(stem_list("query")).alias("term"))
     index = search.word_index(_senses(spark, sf), "id", "definition")
     return search.define(index, index.select("doc_id", "length").distinct(), q)
 

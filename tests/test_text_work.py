@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexlake.functions import cleaning
-from lexlake.operators import choice, marking, phrases, readings, simplified
+from lexlake.operators import choice, irregulars, marking, phrases, readings, simplified
 
 
 def rows(df):
@@ -108,3 +108,22 @@ def test_marking(spark):
     assert p.first()[0] == 0.625
     k = spark.createDataFrame([(["which_word"], 1), (["confused"], 1), (["confused"], 2), (["sound_alike"], 9)], "k array<string>, n int")
     assert [r[0] for r in k.select(marking.notable(F.col("k"), F.col("n"))).collect()] == [True, False, True, False]
+
+
+def test_chosen_sources(spark):
+    columns = "id string, status string, english int, foreign int, en_zh double, n_en_zh int, zh_en double, n_zh_en int"
+    null = None
+    probes = spark.createDataFrame([('a', 'ok', 50, 2, 0.7, 40, 0.2, 40), ('b', 'ok', 5, 60, 0.7, 40, 0.1, 9), ('c', 'ok', 50, 0, 0.9, 3, 0.5, 30), ('d', 'ok', 50, 0, 0.35, 20, 0.34, 30), ('e', 'unreadable', 0, 0, null, null, null, null), ('f', 'ok', 9, 0, 0.1, 9, null, null), ('g', 'ok', 9, 0, 0.5, 4, 0.4, 4)], columns)
+    got = choice.choose(probes, spark.createDataFrame([("f", "styled"), ("e", "styled")], "id string, extractor string"))
+    true, false = True, False
+    assert rows(got.select("id", "keep", "reading", "extractor", "reason")) == sorted([('a', true, 'en-zh', 'text', ''), ('b', false, 'en-zh', 'text', 'mostly another language'), ('c', true, 'zh-en', 'text', ''), ('d', false, 'en-zh', 'text', 'not clearly translations'),
+        ('e', false, 'en-zh', 'text', 'unreadable'), ('f', true, 'en-zh', 'styled', 'not clearly translations'), ('g', false, 'en-zh', 'text', 'too few scored pairs')])
+
+
+def test_judged_forms(spark):
+    attested = [('take', 'verb', 'Past', 'took', 'd1'), ('take', 'verb', 'Past', 'took', 'd2'), ('take', 'verb', 'Past', 'took', 'd3'), ('sing', 'verb', 'Past', 'sang', 'd1'), ('forget', 'verb', 'PresPart', 'forgeting', 'd1'), ('walk', 'verb', 'Past', 'walked', 'd1'),
+    ('man', 'noun', 'Plur', 'men', 'd1'), ('pita', 'noun', 'Plur', 'pitta', 'd1'), ('defog', 'verb', 'Past', 'demist', 'd1'), ('go', 'verb', 'Past', 'went', 'd1'), ('big', 'adjective', 'Cmp', 'bigger', 'd1'), ('teach', 'verb', 'Past', 'taught', 'd1'), ('sheep', 'noun', 'Plur', 'sheep', 'd2')]
+    got = irregulars.judged(spark.createDataFrame(attested, "lemma string, pos string, slot string, form string, dictionary string"))
+    assert rows(got.select("lemma", "pos", "slot", "form", "n", "kind")) == sorted([('take', 'verb', 'Past', 'took', 3, 'irregular'), ('sing', 'verb', 'Past', 'sang', 1, 'thin'), ('forget', 'verb', 'PresPart', 'forgeting', 1, 'regular'), ('walk', 'verb', 'Past', 'walked', 1, 'regular'),
+        ('man', 'noun', 'Plur', 'men', 1, 'thin'), ('pita', 'noun', 'Plur', 'pitta', 1, 'doubtful'), ('defog', 'verb', 'Past', 'demist', 1, 'doubtful'), ('go', 'verb', 'Past', 'went', 1, 'thin'), ('big', 'adjective', 'Cmp', 'bigger', 1, 'regular'),
+        ('teach', 'verb', 'Past', 'taught', 1, 'thin'), ('sheep', 'noun', 'Plur', 'sheep', 1, 'thin')])
