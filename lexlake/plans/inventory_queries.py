@@ -246,6 +246,8 @@ SQL = {
     "resolved_spans": f"""WITH {_S}, m AS (SELECT id, entry_id, kind, list_distinct(regexp_extract_all(lower(definition), '[a-z]+')) AS w, ord, coalesce(len(labels), 0) AS n FROM s WHERE definition IS NOT NULL),
         o AS (SELECT *, {{'a': -len(w), 'b': ord, 'c': -n, 'd': id}} AS o FROM m WHERE len(w) > 0)
         SELECT id AS match_id FROM o x WHERE kind = 'collocation' OR NOT EXISTS (SELECT 1 FROM o y WHERE y.entry_id = x.entry_id AND y.kind <> 'collocation' AND y.o < x.o AND list_has_all(y.w, x.w))""",
+    "phrase_groups": f"""WITH {_S}, p AS (SELECT id AS record_id, dict_id, lower(phrase) AS k FROM s WHERE phrase <> '')
+        SELECT record_id, arg_min(record_id, {{'a': dict_id, 'b': record_id}}) OVER (PARTITION BY k) AS founder FROM p""",
     "spelling_suggestions": f"""WITH {_E}, f AS (SELECT lower(headword) AS form, count(DISTINCT dict_id) AS n FROM e GROUP BY 1), w AS (SELECT DISTINCT lower(headword)[1:2] || 'q' || lower(headword)[3:] AS word FROM entry WHERE id % 100 = 0)
         SELECT word, form, CAST(row_number() OVER (PARTITION BY word ORDER BY n DESC, form) AS INTEGER) AS rank FROM w JOIN f ON damerau_levenshtein(word, form) = 1 WHERE word NOT IN (SELECT form FROM f) QUALIFY rank <= 3""",
 }

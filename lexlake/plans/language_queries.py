@@ -76,6 +76,9 @@ _MAP = """p AS (SELECT DISTINCT ON (id) * FROM pair), c AS (SELECT zh AS a, zh_h
     m AS (SELECT p AS char, arg_min(q, {'a': -n, 'b': q}) AS "to", max(n) AS n FROM v GROUP BY p)"""
 SQL = {
     "simplification_map": f"""WITH {_MAP} SELECT * FROM m WHERE char <> "to" AND n >= 2""",
+    "simplified_pairs": f"""WITH {_MAP}, k AS (SELECT char, "to" FROM m WHERE char <> "to" AND n >= 2), r AS (SELECT id, zh, zh_hans FROM p WHERE zh_hans IS NOT NULL),
+        l AS (SELECT id, string_agg(coalesce("to", c), '' ORDER BY i) AS made FROM (SELECT id, i, zh[i] AS c FROM (SELECT id, zh, unnest(generate_series(1, length(zh))) AS i FROM r)) LEFT JOIN k ON k.char = c GROUP BY id)
+        SELECT count(*) AS n, count(*) FILTER (WHERE zh = zh_hans) AS n_same, count(*) FILTER (WHERE coalesce(made, '') = zh_hans) AS n_same_simplified FROM r LEFT JOIN l USING (id)""",
     "phrase_kinds": f"""WITH {_S}, r AS (SELECT lower(phrase) AS phrase, phrase AS printed, kind, lower(coalesce(pos, '')) AS pos FROM s WHERE phrase <> ''),
         x AS (SELECT *, list_filter(regexp_extract_all(printed, '\\p{{L}}[\\p{{L}}\\p{{N}}_''-]*'), lambda z: lower(z) NOT IN {phrases.SMALL_IN_NAMES}) AS big FROM r),
         g AS (SELECT phrase, bool_or(kind = 'phrasal_verb' OR pos LIKE '%phrasal%') AS verb, bool_and(len(big) > 0 AND len(list_filter(big, lambda z: NOT regexp_matches(z, '^\\p{{Lu}}'))) = 0) AS name,
