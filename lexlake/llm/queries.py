@@ -79,6 +79,15 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.report(*mixing.mixture(table(spark, sf, "documents"), table(spark, sf, "mix_target")))
 
 
+def p8_quotas(spark: SparkSession, sf: str) -> DataFrame:
+    """What each source is to give, in characters, if twice the characters that there are were asked for."""
+    rows = table(spark, sf, "documents").where("doc_id is not null and text <> ''").select("doc_id", F.struct(F.coalesce("source", F.lit("")).alias("source")).alias("leaf"), F.length("text").cast("long").alias("n_tokens"), F.sha2("text", 256).alias("t"))
+    sized = rows.groupBy("t").agg(F.min(F.struct("doc_id", "leaf", "n_tokens")).alias("r")).select("r.leaf", "r.n_tokens")
+    asked = 2 * (sized.agg(F.sum("n_tokens")).first()[0] or 0)
+    made = mixing.plan(sized, table(spark, sf, "mix_target"), ("source",), "target_share", "max_repeats", asked)
+    return spark.createDataFrame([(*x.path, x.size, int(round(x.quota))) for x in made.leaves], "source string, available long, planned long")
+
+
 #: Languages of the tree of p8_tree with their weights; other and missing labels make one more.
 LANGUAGES = {"en": 0.4, "zh": 0.3, "de": 0.05, "fr": 0.05, "es": 0.05, "it": 0.04, "nl": 0.04, "ja": 0.04, "ru": 0.03}
 
@@ -108,7 +117,7 @@ def p9_pieces(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p2_found, p2_unmatched, p3_found, p3_segments, p4_found, p4_records, p5_found, p5_fused, p6_found, p6_forms, p6_classes, p7_found, p8_mix, p8_report, p8_tree, p9_found, p9_pieces)
+    for f in (p2_found, p2_unmatched, p3_found, p3_segments, p4_found, p4_records, p5_found, p5_fused, p6_found, p6_forms, p6_classes, p7_found, p8_mix, p8_report, p8_quotas, p8_tree, p9_found, p9_pieces)
 }
 
 _VALUE = "CASE WHEN {c} IS NULL OR lower(trim({c}, ' \u3000\u00a0')) IN ('', 'null', 'none', 'nil', 'nan', 'n/a', 'na', 'n.a.', 'unknown', 'undefined', '无', '暂无') OR NOT regexp_matches({c}, '[\\p{{L}}\\p{{N}}]') THEN 0 ELSE 1 END"
@@ -130,6 +139,19 @@ SQL: dict[str, str] = {
         )
         SELECT CAST(cluster AS BIGINT) AS cluster, field, pair_id
         FROM b UNPIVOT (pair_id FOR field IN (zh_hans, kind, headword, representative))""",
+    "p8_quotas": """
+        WITH t AS (SELECT DISTINCT ON (text) coalesce(source, '') AS source, length(text) AS n FROM documents WHERE doc_id IS NOT NULL AND text <> '' ORDER BY text, doc_id),
+        a AS (SELECT 2 * sum(n) AS asked FROM t), z AS (SELECT source, sum(n) AS size FROM t GROUP BY 1),
+        m AS (SELECT m.source, coalesce(size, 0) AS size, coalesce(size, 0) * greatest(max_repeats, 1) AS most, target_share AS w FROM mix_target m LEFT JOIN z USING (source)),
+        o AS (SELECT *, (asked - coalesce(sum(most) OVER (ORDER BY most / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY most / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM m, a WHERE w > 0 AND most > 0),
+        v AS (SELECT min(level) FILTER (WHERE most > level * w) AS level FROM o)
+        SELECT source, CAST(size AS BIGINT) AS available, CAST(round(CASE WHEN w > 0 AND most > 0 THEN least(most, coalesce(v.level * w, most)) ELSE 0 END) AS BIGINT) AS planned FROM m, v""",
+    "p4_records": """
+        WITH p AS (
+            SELECT DISTINCT id, regexp_replace(lower(en), '[\\p{P}\\p{Z}\\x00-\\x1f]', '', 'g') AS a,
+                   regexp_replace(lower(zh), '[\\p{P}\\p{Z}\\x00-\\x1f]', '', 'g') AS b FROM pair
+        )
+        SELECT min(id) AS first_id, count(*) AS copies FROM p GROUP BY least(a, b), greatest(a, b)""",
     "p4_found": """
         WITH p AS (
             SELECT DISTINCT id, regexp_replace(lower(en), '[\\p{P}\\p{Z}\\x00-\\x1f]', '', 'g') AS a,
