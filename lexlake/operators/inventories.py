@@ -173,18 +173,28 @@ def anchored(records: Iterable[tuple[int, list[str]]]) -> list[tuple[int, int]]:
 def phrase_groups(records: DataFrame) -> DataFrame:
     """(record_id, founder) of rows (record_id, preference, keys): groups by anchored first registration.
 
-    Records interact only through shared keys, so each connected component of records and keys is
-    grouped by itself, in order of preference and id; a component is as large as one family of
-    phrases.
+    Records interact only through shared keys. A key that only records of one key have is a group of
+    its own, however many they are: its founder is a minimum with partial results. The others are
+    taken by connected components of records and keys, each in order of preference and id; such a
+    component is as large as one family of phrases with variants.
     """
-    edges = records.select(F.concat(F.lit("r"), F.col("record_id")).alias("a"), F.explode(F.transform("keys", lambda k: F.concat(F.lit("k"), k))).alias("b"))
+    own = records.where(F.size("keys") > 0)
+    varied = own.where(F.size("keys") > 1).select(F.explode("keys").alias("key")).distinct()
+    single = own.where(F.size("keys") == 1).withColumn("key", F.get("keys", F.lit(0)))
+    alone = single.join(varied, "key", "left_anti")
+    founders = alone.groupBy("key").agg(F.min(F.struct("preference", "record_id"))["record_id"].alias("founder"))
+    done = alone.join(founders, "key").select("record_id", "founder")
+    rest = own.where(F.size("keys") > 1).unionByName(single.join(varied, "key", "left_semi").select(*own.columns))
+    if rest.isEmpty():
+        return done
+    edges = rest.select(F.concat(F.lit("r"), F.col("record_id")).alias("a"), F.explode(F.transform("keys", lambda k: F.concat(F.lit("k"), k))).alias("b"))
     part = components(edges, "a", "b").where("node like 'r%'").select(F.substring("node", 2, 100).cast("long").alias("record_id"), "component")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["preference", "record_id"])
         return pd.DataFrame(anchored((int(r), list(k)) for r, k in zip(pdf.record_id, pdf["keys"])), columns=["record_id", "founder"])
 
-    return records.where(F.size("keys") > 0).join(part, "record_id").groupBy("component").applyInPandas(run, "record_id long, founder long")
+    return done.unionByName(rest.join(part, "record_id").groupBy("component").applyInPandas(run, "record_id long, founder long"))
 
 
 def level_senses(marks: DataFrame) -> DataFrame:

@@ -111,7 +111,11 @@ def test_phrase_groups_against_sequence(spark):
     r = random.Random(9)
     records = [(i, r.randrange(4), [f"k{r.randrange(60)}" for _ in range(r.randrange(1, 4))]) for i in range(120)]
     want = sorted(inventories.anchored((i, k) for i, p, k in sorted(records, key=lambda x: (x[1], x[0]))), key=repr)
-    assert rows(inventories.phrase_groups(spark.createDataFrame(records, "record_id long, preference int, keys array<string>"))) == want
+    schema = "record_id long, preference int, keys array<string>"
+    assert rows(inventories.phrase_groups(spark.createDataFrame(records, schema))) == want
+    single = [(i, p, k[:1]) for i, p, k in records]
+    want = sorted(inventories.anchored((i, k) for i, p, k in sorted(single, key=lambda x: (x[1], x[0]))), key=repr)
+    assert rows(inventories.phrase_groups(spark.createDataFrame([*single, (900, 1, []), (901, 1, None)], schema))) == want
 
 
 def test_keys_of_phrases(spark):
