@@ -8,11 +8,14 @@ from pyspark.sql.window import Window
 
 from lexlake.functions import text
 from lexlake.functions.stem import stem_list
+from lexlake.session import cut_lineage
 
 #: Answers of a suggestion, and the least similarity.
 SUGGESTIONS, SIMILAR = 20, 0.75
 K1, B = 1.2, 0.75
 DEFINED = 50
+#: A word is frequent if more than one text in so many holds it; there are at most this times the mean words of a text of them.
+OFTEN = 200
 
 
 def grams(c: Column, n: int = 3) -> Column:
@@ -69,33 +72,50 @@ def containing(terms: DataFrame, queries: DataFrame, n: int = 3, empty: bool = F
     return found.unionByName(rest)
 
 
+def word_lists(docs: DataFrame, doc_id: str, body: str, stemmed: bool = True) -> DataFrame:
+    """(doc_id, w): the words of each text in order, stemmed or as they stand."""
+    words = stem_list(F.col(body)) if stemmed else F.regexp_extract_all(F.lower(body), F.lit("([a-z0-9]+)"), 1)
+    return docs.select(F.col(doc_id).alias("doc_id"), words.alias("w")).where("w is not null")
+
+
 def word_index(docs: DataFrame, doc_id: str, body: str, stemmed: bool = True) -> DataFrame:
     """(doc_id, term, tf, length): words of each text with their counts, stemmed or as they stand."""
-    words = stem_list(F.col(body)) if stemmed else F.regexp_extract_all(F.lower(body), F.lit("([a-z0-9]+)"), 1)
-    listed = docs.select(F.col(doc_id).alias("doc_id"), words.alias("w")).where("w is not null")
+    listed = word_lists(docs, doc_id, body, stemmed)
     return listed.select("doc_id", F.size("w").alias("length"), F.explode("w").alias("term")).groupBy("doc_id", "length", "term").agg(F.count("*").alias("tf"))
 
 
-def define(index: DataFrame, docs: DataFrame, queries: DataFrame, k: int = DEFINED) -> DataFrame:
+def define(lists: DataFrame, queries: DataFrame, k: int = DEFINED) -> DataFrame:
     """(query_id, doc_id, score, rank): texts that hold all words of a query, best by BM25.
 
-    queries is (query_id, term). Only the texts that hold a query's rarest word meet its other words.
-    The number of texts and their mean length are one row; the frequency of a word is counted for
-    the words asked for.
+    lists is (doc_id, w) of word_lists, each text once, queries (query_id, term). The lists are
+    written once and read from there. Queries of the same words are answered once. Only the texts
+    that hold a query's rarest word are read for its other words; words that many texts hold, of
+    which there can be few, leave the index first, unless they are a query's rarest. Joins with the
+    index and the lists are merges: Spark takes their size for that of the table before its texts
+    are split, and would send all of them to the driver.
     """
-    size = docs.agg(F.count("*").alias("n_docs"), F.avg("length").alias("mean"))  # one row
-    asked = queries.select("query_id", "term").distinct()
-    wanted = asked.groupBy("query_id").agg(F.count("*").alias("wanted"))
-    df = index.join(asked.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
-    terms = asked.join(df, "term")  # a word that stands nowhere leaves its query without an answer
-    rarest = terms.groupBy("query_id").agg(F.min(F.struct("df", "term"))["term"].alias("term"))
-    texts = rarest.join(index, "term").select("query_id", "doc_id")
-    hits = texts.join(terms, "query_id").join(index, ["doc_id", "term"]).crossJoin(F.broadcast(size))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    scored = hits.groupBy("query_id", "doc_id").agg(F.count("*").alias("n"), F.round(F.sum(part), 6).alias("score")).join(wanted, "query_id").where("n = wanted")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "doc_id", "score", "rank")
+    listed = cut_lineage(lists.where(F.size("w") > 0).select("doc_id", F.array_join("w", " ").alias("text"))).select("doc_id", F.split("text", " ").alias("w"))
+    index = listed.select("doc_id", F.explode(F.array_distinct("w")).alias("term"))
+    size = listed.agg(F.count("*").alias("n_docs"), F.avg(F.size("w")).alias("mean"))  # one row
+    asked = queries.groupBy("query_id").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    df = index.groupBy("term").agg(F.count("*").alias("df"))
+    # a word that stands nowhere leaves its query without an answer
+    each = asked.select("terms").distinct().select("terms", F.explode("terms").alias("term")).join(df.hint("merge"), "term")
+    parts = F.sort_array(F.collect_list(F.struct("df", "term")))
+    weighed = each.groupBy("terms").agg(parts.alias("parts")).where(F.size("parts") == F.size("terms")).withColumn("term", F.col("parts")[0]["term"])
+    often = df.crossJoin(F.broadcast(size)).where(F.col("df") * OFTEN > F.col("n_docs")).select("term").join(weighed.select("term"), "term", "left_anti")
+    texts = weighed.hint("merge").join(index.join(F.broadcast(often), "term", "left_anti"), "term").select("terms", "parts", "doc_id")
+    hits = texts.join(listed.hint("merge"), "doc_id").where(F.size(F.array_except("terms", "w")) == 0).crossJoin(F.broadcast(size))
+
+    def part(p: Column) -> Column:
+        tf, length = F.size("w") - F.size(F.array_remove("w", p["term"])), F.size("w")
+        idf = F.log(1 + (F.col("n_docs") - p["df"] + 0.5) / (p["df"] + 0.5))
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / F.col("mean")))
+
+    scored = hits.select("terms", "doc_id", F.round(F.aggregate("parts", F.lit(0.0), lambda total, p: total + part(p)), 6).alias("score"))
+    rank = F.row_number().over(Window.partitionBy("terms").orderBy(F.desc("score"), "doc_id"))
+    best = scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    return asked.join(best, "terms").select("query_id", "doc_id", "score", "rank")
 
 
 def runs(words: Column, least: int, most: int) -> Column:

@@ -57,16 +57,14 @@ def define_words(spark: SparkSession, sf: str) -> DataFrame:
     """Definitions with the first two long words of every hundredth definition, by BM25 over words as they stand."""
     words = F.slice(F.regexp_extract_all(F.lower("definition"), F.lit("([a-z0-9]{5,})"), 1), 1, 2)
     q = _asked(spark, sf).select(F.col("id").alias("query_id"), F.explode(words).alias("term")).distinct()
-    index = search.word_index(_senses(spark, sf), "id", "definition", stemmed=False)
-    return search.define(index, index.select("doc_id", "length").distinct(), q)
+    return search.define(search.word_lists(_senses(spark, sf), "id", "definition", stemmed=False), q)
 
 
 def define_stems(spark: SparkSession, sf: str) -> DataFrame:
     """The same over stems."""
     words = F.array_join(F.slice(F.regexp_extract_all(F.lower("definition"), F.lit("([a-z]{5,})"), 1), 1, 2), " ")
     q = _asked(spark, sf).select(F.col("id").alias("query_id"), words.alias("query")).select("query_id", F.explode(stem_list("query")).alias("term"))
-    index = search.word_index(_senses(spark, sf), "id", "definition")
-    return search.define(index, index.select("doc_id", "length").distinct(), q)
+    return search.define(search.word_lists(_senses(spark, sf), "id", "definition"), q)
 
 
 def phrase_attested(spark: SparkSession, sf: str) -> DataFrame:
